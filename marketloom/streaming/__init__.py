@@ -1,0 +1 @@
+"""Intentionally empty: every job of this project is a batch job, so nothing here streams."""
