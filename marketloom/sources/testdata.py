@@ -27,7 +27,7 @@ EXPERIMENT = "EXP001_checkout_redesign"
 
 
 def key_text(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 9, "0"))
+    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 12, "0"))
 
 
 def cents(amount: Column) -> Column:
