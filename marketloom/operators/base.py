@@ -18,6 +18,10 @@ def completed_orders(shop: Shop) -> DataFrame:
 
 
 def order_facts(shop: Shop) -> DataFrame:
+    return shop.shared("order-facts", lambda: _order_facts(shop))
+
+
+def _order_facts(shop: Shop) -> DataFrame:
     """One row per completed order that has items.
 
     Items are added up per order before the join: an order with very many lines shrinks to one row on the map
@@ -59,6 +63,10 @@ def sold_items(shop: Shop) -> DataFrame:
 
 
 def product_totals(shop: Shop) -> DataFrame:
+    return shop.shared("product-totals", lambda: _product_totals(shop))
+
+
+def _product_totals(shop: Shop) -> DataFrame:
     """Sales per product before any product column is joined, so the big side shuffles once, aggregated."""
     return sold_items(shop).groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),

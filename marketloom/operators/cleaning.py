@@ -155,10 +155,19 @@ def no_negative_amount(df: DataFrame) -> DataFrame:
 
 
 class Cleaning:
-    """The nine pipelines over raw tables; a child table reads the keys of its cleaned parents."""
+    """The nine pipelines over raw tables; a child table reads the keys of its cleaned parents.
 
-    def __init__(self, raw: Callable[[str], DataFrame]):
+    With ``keep`` (a function that stores a DataFrame and gives it back) every table is cleaned once, however
+    many children it has.
+    """
+
+    def __init__(self, raw: Callable[[str], DataFrame], keep: Callable[[DataFrame, str], DataFrame] | None = None):
         self.raw = raw
+        self._keep = keep
+        self._done: dict[str, DataFrame] = {}
+
+    def keeping(self, keep: Callable[[DataFrame, str], DataFrame]) -> "Cleaning":
+        return Cleaning(self.raw, keep)
 
     def _run(self, table: str, *rules: Rule) -> DataFrame:
         return reduce(DataFrame.transform, rules, self.raw(table))
@@ -190,14 +199,14 @@ class Cleaning:
     def orders(self) -> DataFrame:
         return self._finished("orders", self._run(
             "orders", keep_first("order_id"), valid_time("order_date"),
-            with_parent(self.customers(), "customer_id"), titled_or_null("payment_method"),
+            with_parent(self.table("customers"), "customer_id"), titled_or_null("payment_method"),
             numbers(discount=FRACTION, shipping_cost=MONEY), zero_if_missing("discount", "shipping_cost"),
             listed("order_status", STATUSES),
         ))
 
     def order_items(self) -> DataFrame:
         return self._finished("order_items", self._run(
-            "order_items", keep_first("order_item_id"), with_parent(self.orders(), "order_id"),
+            "order_items", keep_first("order_item_id"), with_parent(self.table("orders"), "order_id"),
             with_parent(self.product_rows(), "product_id"), numbers(quantity="int", unit_price=MONEY),
             positive_quantity, add_line_total,
         ))
@@ -205,7 +214,7 @@ class Cleaning:
     def web_events(self) -> DataFrame:
         return self._finished("web_events", self._run(
             "web_events", keep_first("event_id"), valid_time("event_timestamp"),
-            with_parent(self.customers(), "customer_id"), fill_labels({"session_id": UNKNOWN_SESSION}),
+            with_parent(self.table("customers"), "customer_id"), fill_labels({"session_id": UNKNOWN_SESSION}),
             listed("event_name", EVENTS),
         ))
 
@@ -218,13 +227,13 @@ class Cleaning:
 
     def payments(self) -> DataFrame:
         return self._finished("payments", self._run(
-            "payments", keep_first("payment_id"), with_parent(self.orders(), "order_id"),
+            "payments", keep_first("payment_id"), with_parent(self.table("orders"), "order_id"),
             valid_time("payment_date"), numbers(amount=AMOUNT), no_negative_amount,
         ))
 
     def returns(self) -> DataFrame:
         return self._finished("returns", self._run(
-            "returns", keep_first("return_id"), with_parent(self.orders(), "order_id"),
+            "returns", keep_first("return_id"), with_parent(self.table("orders"), "order_id"),
             valid_time("return_date", "date"), fill_labels({"return_reason": NO_REASON}),
         ))
 
@@ -235,7 +244,10 @@ class Cleaning:
         ))
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)()
+        if name not in self._done:
+            cleaned = getattr(self, name)()
+            self._done[name] = self._keep(cleaned, name) if self._keep else cleaned
+        return self._done[name]
 
     def shop(self, spark) -> Shop:
         return Shop(spark, self.table)

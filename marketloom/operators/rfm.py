@@ -63,6 +63,10 @@ def rfm_values(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 
 def rfm_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
+    return shop.shared("rfm-scores", lambda: _rfm_scores(shop, params), params)
+
+
+def _rfm_scores(shop: Shop, params: Params) -> DataFrame:
     """NTILE scores, ties by customer_id; the three rankings share one range-partitioned pass."""
     ranked = ranked_measures(rfm_values(shop, params), "customer_id", ["recency_days", "frequency", "monetary"])
     tile = tile_of(F.col("rank"), F.col("rank_all"), params.score_groups)
@@ -141,6 +145,10 @@ def _edge_score(value: Column, edges: Column, groups: int) -> Column:
 
 
 def rfm_edge_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
+    return shop.shared("rfm-edge-scores", lambda: _rfm_edge_scores(shop, params), params)
+
+
+def _rfm_edge_scores(shop: Shop, params: Params) -> DataFrame:
     """Scores by quantile edges: equal values share a score, except for frequency, scored by its rank."""
     groups = params.score_groups
     values = written(rfm_values_by_periods(shop, params), "rfm")

@@ -158,9 +158,7 @@ _add(
 
 def rule_scores(shop: Shop) -> DataFrame:
     """Buyers with a churn probability by a fixed rule: many ties, both band limits, zeros."""
-    p = F.when(F.col("discount_usage") == 1, 0.0).otherwise(
-        F.least(F.lit(1.0), F.round(F.lit(1.2) / F.col("purchase_frequency"), 4))
-    )
+    p = F.least(F.lit(1.0), F.round(F.lit(0.15) * F.col("returns"), 4))
     return churn_model.churn_features(shop).select(
         "customer_id", "total_spend", F.col("churned").alias("label"), p.alias("churn_probability")
     ).withColumn("prediction", (F.col("churn_probability") > 0.5).cast("int"))
@@ -204,12 +202,12 @@ _add(
         "K2": _on_shop(churn_model.spend_habits, "customer_id", "days_since_last_purchase"),
         "K3": _on_shop(_of_buyers(churn_model.order_habits), "customer_id", "purchase_frequency"),
         "K4": _on_shop(churn_model.spend_habits, "customer_id", "total_spend"),
-        "K5": _on_shop(churn_model.spend_habits, "customer_id", "avg_order_value", avg_order_value=4),
+        "K5": _on_shop(churn_model.spend_habits, "customer_id", "avg_order_value"),
         "K6": _on_shop(churn_model.session_habits, "customer_id", "number_of_sessions"),
         "K7": _on_shop(churn_model.session_habits, "customer_id", "cart_abandonment"),
         "K8": _on_shop(churn_model.return_habits),
         "K9": _on_shop(_of_buyers(churn_model.order_habits), "customer_id", "discount_usage", discount_usage=6),
-        "K10": _on_shop(churn_model.churn_features, avg_order_value=4, discount_usage=6),
+        "K10": _on_shop(churn_model.churn_features, discount_usage=6),
         "K11": _on_shop(
             lambda shop: churn_model.stratified_split(churn_model.churn_features(shop), "churned", "customer_id"),
             "customer_id", "churned", "is_test",
@@ -365,7 +363,7 @@ _add(
                      _clicks, cleaning.plausible_clicks, columns=("date", "channel", "clicks")),
         "C17": _rule("payments", cleaning.keep_first("payment_id"), cleaning.numbers(amount="decimal(18,2)"),
                      cleaning.no_negative_amount, columns=("payment_id", "amount")),
-        "C18": lambda spark, folder: plain_types(star_cleaning(spark, folder).audit()),
+        "C18": lambda spark, folder: plain_types(star_cleaning(spark, folder).keeping(written).audit()),
     },
     sql_cleaning.RULES,
 )
@@ -428,13 +426,13 @@ def _result_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _view_names(spark: SparkSession, folder: str) -> DataFrame:
-    catalogue.register_views(star_shop(spark, folder))
+    catalogue.register_views(star_shop(spark, folder).keeping(written))
     names = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("vw_"))
     return spark.createDataFrame([(n,) for n in names], "view_name string")
 
 
 def _view_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return evidence.view_samples(star_shop(spark, folder)).groupBy(
+    return evidence.view_samples(star_shop(spark, folder).keeping(written)).groupBy(
         F.col("item").alias("view_name"), "status"
     ).agg(F.count("row_json").alias("rows_returned"))
 
@@ -448,7 +446,7 @@ def _summary(shop: Shop) -> DataFrame:
 
 def _pack(spark: SparkSession, folder: str) -> DataFrame:
     """All evidence: forest, experiment, every view, forecast, anomalies, segments."""
-    shop, forest = star_shop(spark, folder), _forest(spark, folder)
+    shop, forest = star_shop(spark, folder).keeping(written), _forest(spark, folder)
     banded = _banded_forest(forest)
     order = catalogue.in_order
 

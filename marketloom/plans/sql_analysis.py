@@ -90,7 +90,7 @@ CTES.update({
     "feat_split": """SELECT *, row_number() OVER (PARTITION BY churned ORDER BY md5(customer_id || ':42'), customer_id)
         <= floor(count(*) OVER (PARTITION BY churned) * 0.25 + 0.5) AS is_test FROM feat""",
     "ruled": """SELECT customer_id, churned, net4,
-        CASE WHEN usage = 1 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, round(1.2::DOUBLE / freq, 4)) END AS p FROM feat""",
+        least(1.0::DOUBLE, round(0.15::DOUBLE * returns, 4)) AS p FROM feat""",
     "cells": """SELECT count(*) FILTER (churned = 0 AND p <= 0.5)::DOUBLE AS a, count(*) FILTER (churned = 0 AND p > 0.5)
         ::DOUBLE AS b, count(*) FILTER (churned = 1 AND p <= 0.5)::DOUBLE AS c, count(*) FILTER (churned = 1 AND p > 0.5)
         ::DOUBLE AS d FROM ruled""",
@@ -183,13 +183,13 @@ ANALYSIS: dict[str, str] = {
     "K2": "SELECT customer_id, days AS days_since_last_purchase FROM feat",
     "K3": "SELECT customer_id, freq AS purchase_frequency FROM feat",
     "K4": f"SELECT customer_id, {net('net4')} AS total_spend FROM feat",
-    "K5": "SELECT customer_id, round(aov, 4) AS avg_order_value FROM feat",
+    "K5": "SELECT customer_id, aov AS avg_order_value FROM feat",
     "K6": "SELECT customer_id, sessions AS number_of_sessions FROM visits",
     "K7": "SELECT customer_id, left_carts AS cart_abandonment FROM visits",
     "K8": "SELECT customer_id, returns FROM sent_back",
     "K9": "SELECT customer_id, round(usage, 6) AS discount_usage FROM feat",
     "K10": f"""SELECT customer_id, days AS days_since_last_purchase, freq AS purchase_frequency, {net('net4')} AS total_spend,
-        round(aov, 4) AS avg_order_value, sessions AS number_of_sessions, left_carts AS cart_abandonment, returns,
+        aov AS avg_order_value, sessions AS number_of_sessions, left_carts AS cart_abandonment, returns,
         round(usage, 6) AS discount_usage, churned FROM feat""",
     "K11": "SELECT customer_id, churned, is_test FROM feat_split",
     "K12": "SELECT customer_id, is_test, " + ", ".join(
@@ -228,7 +228,7 @@ ANALYSIS: dict[str, str] = {
         UNION ALL SELECT 'high_value_high_risk_customers', count(*) FROM urgent""",
     "P1": "SELECT * FROM headline",
     "P2": f"""SELECT (SELECT {ratio('100 * sum(churned)', 'count(*)')} FROM feat) AS churn_rate_pct,
-        (SELECT {net2('sum(net4)')} FROM urgent) AS high_risk_value,
+        (SELECT coalesce({net2('sum(net4)')}, 0) FROM urgent) AS high_risk_value,
         round(sum(p) FILTER (n <= 30), 0) AS next_30_days, round(sum(p) FILTER (n <= 60), 0) AS next_60_days,
         round(sum(p), 0) AS next_90_days FROM ahead""",
     "P3": f"""SELECT {ratio("100 * count(*) FILTER (status IN ('Cancelled', 'Pending'))", 'count(*)', 1)}

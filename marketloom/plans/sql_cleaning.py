@@ -133,7 +133,7 @@ RULES: dict[str, str] = {
     "C15": f"""SELECT item_id AS order_item_id, CASE WHEN sk % 40 = 7 THEN 0.0::DOUBLE
         WHEN sk % 40 = 8 THEN {money('-unit')} ELSE {money('line')} END AS line_total FROM m_items""",
     "C16": f"""SELECT day AS date, channel, {big('clicks')} AS clicks FROM m_marketing
-        WHERE impressions % 43 <> 0 AND impressions % 47 <> 0""",
+        WHERE impressions % 41 <> 0 AND impressions % 43 <> 0 AND impressions % 47 <> 0""",
     "C17": f"""SELECT payment_id, {money('amount')} AS amount FROM m_payments
         WHERE CAST(substr(payment_id, 2) AS BIGINT) % 67 <> 0""",
     "C18": _union([

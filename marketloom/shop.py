@@ -16,6 +16,23 @@ class Shop:
         self.spark = spark
         self._read = read
         self._known: dict[str, DataFrame] = {}
+        self._keep: Callable[[DataFrame, str], DataFrame] | None = None
+        self._shared: dict[tuple, DataFrame] = {}
+
+    def keeping(self, keep: Callable[[DataFrame, str], DataFrame]) -> "Shop":
+        """The same tables, with results that several analyses share computed once and stored by ``keep``."""
+        other = Shop(self.spark, self.table)
+        other._keep = keep
+        return other
+
+    def shared(self, name: str, build: Callable[[], DataFrame], *settings) -> DataFrame:
+        """The result of ``build``; in a keeping shop the stored one, told apart by name and settings."""
+        if self._keep is None:
+            return build()
+        key = (name, *settings)
+        if key not in self._shared:
+            self._shared[key] = self._keep(build(), name)
+        return self._shared[key]
 
     @classmethod
     def of_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> "Shop":
