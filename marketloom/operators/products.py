@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketloom.functions.numeric import percent, ratio
-from marketloom.operators.base import product_totals, sold_items, with_row
+from marketloom.operators.base import completed_orders, product_totals, with_row
 from marketloom.operators.ranking import exact_percentiles, written
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
@@ -78,20 +78,20 @@ def return_reasons(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 def product_pairs(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     """Pairs of product names bought in one order, all of them counted.
 
-    Lines of one product in one order are first added up, so a pair is met once per order with its number of
-    line pairs as weight. The products of a very large order are dealt into blocks; each pair of blocks is a
-    join key of its own, which spreads that order's pairs over many tasks and still meets every pair once.
+    Lines of one product in one order are first added up, on the map side already, so a pair is met once per
+    order with its number of line pairs as weight. The products of a very large order are dealt into blocks; each
+    pair of blocks is a join key of its own, which spreads that order's pairs over many tasks and still meets
+    every pair once. Between the joins the data change their partitioning, so Spark may split any skewed join.
     """
     names = shop.products.select("product_id", "product_name")
-    lines = sold_items(shop).groupBy("order_id", "product_id").agg(F.count("*").alias("lines"))
-    large = lines.groupBy("order_id").agg(F.count("*").alias("products")).filter(
-        F.col("products") > params.pair_block
+    lines = shop.order_items.groupBy("order_id", "product_id").agg(F.count("*").alias("lines"))
+    block_count = F.ceil(F.count("*") / params.pair_block).cast("int")
+    orders = completed_orders(shop).select("order_id").join(
+        lines.groupBy("order_id").agg(block_count.alias("blocks")), "order_id"
     )
-    blocks = large.select("order_id", F.ceil(F.col("products") / params.pair_block).cast("int").alias("blocks"))
     dealt = (
         lines.join(names, "product_id")
-        .join(blocks, "order_id", "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .join(orders, "order_id")
         .withColumn("block", F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(

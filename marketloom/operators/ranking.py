@@ -7,8 +7,6 @@ written table fixes which row is in which part, so a lost executor cannot change
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketloom.session import new_folder
@@ -29,27 +27,26 @@ def running_totals(df: DataFrame, group: list[str], order: list, totals: dict[st
     not make one part large.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A struct of the group columns is never null, so it joins by plain equality on the window's own keys.
     ranged = written(
-        df.withColumns({f"_add_{name}": value for name, value in totals.items()})
+        df.withColumn("_group", F.struct(*group) if group else F.lit(0))
+        .withColumns({f"_add_{name}": value for name, value in totals.items()})
         .repartitionByRange(parts, *group, *order)
         .withColumn("_part", F.spark_partition_id()),
         "ranges",
     )
-    # One row per part and group: bounded by the number of parts, not by the data.
-    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    sizes = ranged.groupBy(*group, "_part").agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
+    # One row per part and group: a part holds neighbouring groups, so at most parts + groups rows.
+    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_group")
+    sizes = ranged.groupBy("_part", "_group").agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
     offsets = sizes.select(
-        *[F.col(g).alias(f"_group_{g}") for g in group],
-        F.col("_part").alias("_offset_part"),
+        "_part", "_group",
         *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in totals],
         *[F.sum(f"_sum_{n}").over(whole).alias(f"{n}_all") for n in totals],
     )
-    same = [F.col("_part") == F.col("_offset_part")]
-    same += [F.col(g).eqNullSafe(F.col(f"_group_{g}")) for g in group]
-    local = Window.partitionBy("_part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(offsets, reduce(lambda a, b: a & b, same))
-    return joined.select(
+    # Join and window need the same clustering: one shuffle serves both.
+    local = Window.partitionBy("_part", "_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(offsets, ["_part", "_group"]).select(
         *df.columns,
         *[(F.col(f"_before_{n}") + F.sum(f"_add_{n}").over(local)).alias(n) for n in totals],
         *[f"{n}_all" for n in totals],
@@ -82,23 +79,16 @@ def ranked_measures(df: DataFrame, key: str, measures: list[str]) -> DataFrame:
     return running_totals(stacked, ["measure"], ["value", key], {"rank": F.lit(1)})
 
 
-def exact_percentiles(
-    df: DataFrame, group: list[str], value: str, points: dict[str, float], weight: Column | None = None
+def interpolated(
+    ranked: DataFrame, group: list[str], value: str, upto: Column, rows: Column, total: Column, points: dict[str, float]
 ) -> DataFrame:
-    """Per group the linearly interpolated percentiles of the non-null values, as double.
-
-    Equal values are counted on the map side first; a value that a third of all rows share is one row here.
-    ``weight`` says how often a row counts, 1 if not given.
-    """
-    times = F.sum(F.lit(1) if weight is None else weight)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(times.alias("_n"))
-    ranked = running_totals(counts, group, [value], {"_upto": F.col("_n")})
+    """Per group the interpolated percentiles, from rows that cover the places ``upto - rows`` to ``upto - 1``."""
     columns, picks = [], []
     for name, p in points.items():
-        place = (F.col("_upto_all") - 1) * F.lit(float(p))
+        place = (total - 1) * F.lit(float(p))
         low = F.floor(place)
-        for tag, index in (("lo", low), ("hi", F.least(low + 1, F.col("_upto_all") - 1))):
-            inside = (index >= F.col("_upto") - F.col("_n")) & (index < F.col("_upto"))
+        for tag, index in (("lo", low), ("hi", F.least(low + 1, total - 1))):
+            inside = (index >= upto - rows) & (index < upto)
             picks.append(F.max(F.when(inside, F.col(value).cast("double"))).alias(f"_{tag}_{name}"))
         picks.append(F.max(place - low).alias(f"_part_{name}"))
         columns.append(
@@ -106,3 +96,17 @@ def exact_percentiles(
             .alias(name)
         )
     return ranked.groupBy(*group).agg(*picks).select(*group, *columns)
+
+
+def exact_percentiles(
+    df: DataFrame, group: list[str], value: str, points: dict[str, float], weight: Column | None = None
+) -> DataFrame:
+    """Per group the linearly interpolated percentiles of the non-null values, as double.
+
+    Equal values are counted on the map side first; a value that a third of all rows share is one row here.
+    ``weight`` says how often a row counts, 1 if not given.
+    """
+    times = F.sum(F.lit(1) if weight is None else weight)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(times.alias("_n"))
+    ranked = running_totals(counts, group, [value], {"_upto": F.col("_n")})
+    return interpolated(ranked, group, value, F.col("_upto"), F.col("_n"), F.col("_upto_all"), points)

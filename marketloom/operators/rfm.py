@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketloom.functions.dates import whole_days
 from marketloom.functions.numeric import mean_of
 from marketloom.operators.base import analysis_day, customer_facts, reference_day, with_row
-from marketloom.operators.ranking import exact_percentiles, ranked_measures, tile_of, written
+from marketloom.operators.ranking import interpolated, ranked_measures, tile_of
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
 
@@ -62,6 +62,11 @@ def rfm_values(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
+def _of(measure: str, column: Column) -> Column:
+    """Aggregate: ``column`` of the row of that measure."""
+    return F.max(F.when(F.col("measure") == measure, column))
+
+
 def rfm_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     return shop.shared("rfm-scores", lambda: _rfm_scores(shop, params), params)
 
@@ -70,17 +75,13 @@ def _rfm_scores(shop: Shop, params: Params) -> DataFrame:
     """NTILE scores, ties by customer_id; the three rankings share one range-partitioned pass."""
     ranked = ranked_measures(rfm_values(shop, params), "customer_id", ["recency_days", "frequency", "monetary"])
     tile = tile_of(F.col("rank"), F.col("rank_all"), params.score_groups)
-
-    def of(measure: str, column: Column) -> Column:
-        return F.max(F.when(F.col("measure") == measure, column))
-
     scored = ranked.groupBy("customer_id").agg(
-        of("recency_days", F.col("value")).cast("int").alias("recency_days"),
-        of("frequency", F.col("value")).cast("bigint").alias("frequency"),
-        of("monetary", F.col("value")).alias("monetary"),
-        (params.score_groups + 1 - of("recency_days", tile)).alias("r_score"),
-        of("frequency", tile).alias("f_score"),
-        of("monetary", tile).alias("m_score"),
+        _of("recency_days", F.col("value")).cast("int").alias("recency_days"),
+        _of("frequency", F.col("value")).cast("bigint").alias("frequency"),
+        _of("monetary", F.col("value")).alias("monetary"),
+        (params.score_groups + 1 - _of("recency_days", tile)).alias("r_score"),
+        _of("frequency", tile).alias("f_score"),
+        _of("monetary", tile).alias("m_score"),
     )
     return scored.withColumn("rfm_total_score", total_score())
 
@@ -119,19 +120,6 @@ def rfm_values_by_periods(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def quantile_edges(values: DataFrame, measures: list[str], groups: int) -> DataFrame:
-    """One row per measure: the interpolated quantiles ``e0 … e<groups>``."""
-    stacked = values.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(m).alias("measure"), F.col(m).cast("decimal(28,6)").alias("value"))
-                for m in measures
-            ])
-        ).alias("m")
-    ).select("m.measure", "m.value")
-    return exact_percentiles(stacked, ["measure"], "value", {f"e{i}": i / groups for i in range(groups + 1)})
-
-
 def _edge_score(value: Column, edges: Column, groups: int) -> Column:
     """Number of the right-closed interval that holds ``value``; equal edges are an error."""
     same = [edges[f"e{i}"] >= edges[f"e{i + 1}"] for i in range(groups)]
@@ -149,24 +137,34 @@ def rfm_edge_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 
 def _rfm_edge_scores(shop: Shop, params: Params) -> DataFrame:
-    """Scores by quantile edges: equal values share a score, except for frequency, scored by its rank."""
+    """Scores by quantile edges: equal values share a score, except for frequency, scored by its rank.
+
+    One range-partitioned pass ranks all three measures; the edges are read off the ranks.
+    """
     groups = params.score_groups
-    values = written(rfm_values_by_periods(shop, params), "rfm")
-    edges = quantile_edges(values, ["recency_days", "monetary"], groups)
-    ranked = ranked_measures(values, "customer_id", ["frequency"])
+    ranked = ranked_measures(
+        rfm_values_by_periods(shop, params), "customer_id", ["recency_days", "frequency", "monetary"]
+    )
+    edges = interpolated(
+        ranked.filter("measure <> 'frequency'"), ["measure"], "value", F.col("rank"), F.lit(1), F.col("rank_all"),
+        {f"e{i}": i / groups for i in range(groups + 1)},
+    )
     # The quantile edges of the ranks 1 … n are 1 + (n - 1) * i / groups.
-    by_rank = None
-    for i in range(1, groups):
-        fits = (F.col("rank") - 1) * groups <= (F.col("rank_all") - 1) * i
-        by_rank = F.when(fits, i) if by_rank is None else by_rank.when(fits, i)
-    frequency = ranked.select("customer_id", by_rank.otherwise(groups).alias("f_score"))
-    scored = with_row(values, edges.filter("measure = 'recency_days'"), "r_edges")
+    by_rank = F.when((F.col("rank") - 1) * groups <= F.col("rank_all") - 1, 1)
+    for i in range(2, groups):
+        by_rank = by_rank.when((F.col("rank") - 1) * groups <= (F.col("rank_all") - 1) * i, i)
+    scored = ranked.groupBy("customer_id").agg(
+        _of("recency_days", F.col("value")).cast("int").alias("recency_days"),
+        _of("frequency", F.col("value")).cast("bigint").alias("frequency"),
+        _of("monetary", F.col("value")).alias("monetary"),
+        _of("frequency", by_rank.otherwise(groups)).alias("f_score"),
+    )
+    scored = with_row(scored, edges.filter("measure = 'recency_days'"), "r_edges")
     scored = with_row(scored, edges.filter("measure = 'monetary'"), "m_edges")
-    scored = scored.withColumns({
+    return scored.withColumns({
         "r_score": groups + 1 - _edge_score(F.col("recency_days").cast("double"), F.col("r_edges"), groups),
         "m_score": _edge_score(F.col("monetary").cast("double"), F.col("m_edges"), groups),
-    })
-    return scored.join(frequency, "customer_id").select(
+    }).select(
         "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
         total_score().alias("rfm_total_score"),
     )

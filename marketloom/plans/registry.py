@@ -26,7 +26,7 @@ from marketloom.session import new_folder
 from marketloom.shop import Shop
 from marketloom.sources import files
 from marketloom.sources.rawdata import RawTables, star_cleaning
-from marketloom.sources.testdata import star_shop
+from marketloom.sources.testdata import StarTables, star_shop
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,7 +272,7 @@ def _budgeted(shop: Shop) -> DataFrame:
 
 def _routed(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn of every conversation as a question."""
-    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "text")
+    turns = StarTables(spark, folder).read("conversations").select("conv_id", "turn", "text")
     return plain_types(evidence.routed(turns, "text").select(
         "conv_id", "turn", F.array_join("sections", ",").alias("sections")
     ))

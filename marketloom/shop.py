@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.schemas import TABLES
+from marketloom.schemas import CLEAN, TABLES
 
 
 class Shop:
@@ -40,7 +40,7 @@ class Shop:
 
     @classmethod
     def of_parquet(cls, spark: SparkSession, folder: str) -> "Shop":
-        return cls(spark, lambda name: spark.read.parquet(f"{folder}/{name}"))
+        return cls(spark, lambda name: spark.read.schema(CLEAN[name]).parquet(f"{folder}/{name}"))
 
     def table(self, name: str) -> DataFrame:
         if name not in self._known:

@@ -139,7 +139,7 @@ class RawTables:
         )
 
     def returns(self) -> DataFrame:
-        base = self.clean.returns().withColumn("_k", cents(F.col("refund_amount")))
+        base = self.clean.returns().withColumn("_k", F.expr(cents("refund_amount")))
         rows = _copies(base, _every(50))
         return rows.select(
             "_seq", "return_id", "order_id", "customer_id", "product_id",

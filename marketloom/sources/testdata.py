@@ -6,11 +6,9 @@ broadcast by hint: the nation and region joins are left to Spark's own size chec
 
 from __future__ import annotations
 
-from decimal import Decimal
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from marketloom.schemas import AMOUNT, CLEAN, FRACTION, MONEY
+from marketloom.schemas import CLEAN
 from marketloom.shop import Shop
 
 # Vocabularies of the shop tables.
@@ -25,21 +23,37 @@ EVENT_NAMES = {
 }
 EXPERIMENT = "EXP001_checkout_redesign"
 
+# Schemas of the files, so that no query opens a file only to learn its columns.
+FILES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
-def key_text(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 12, "0"))
+def key_text(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', lpad(cast({key} AS string), 12, '0'))"
 
 
-def cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+def cents(amount: str) -> str:
+    return f"cast(round({amount} * 100) AS bigint)"
 
 
-def from_cents(value: Column, kind=MONEY) -> Column:
-    return (value.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(kind)
+def from_cents(value: str, kind: str = "decimal(12,2)") -> str:
+    return f"cast(cast({value} AS decimal(15,0)) * 0.01 AS {kind})"
 
 
-def pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({index} AS int) + 1)"
 
 
 class StarTables:
@@ -50,74 +64,62 @@ class StarTables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(FILES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def customers(self) -> DataFrame:
-        places = self.read("nation").join(
-            self.read("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        key = F.col("c_custkey")
-        return self.read("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            key_text("C", key).alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.date_add(F.lit("1995-01-01").cast("date"), (key * 37 % 1800).cast("int")).alias("signup_date"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("city"),
-            pick(DEVICES, key % 4).alias("device"),
-            pick(CHANNELS, F.col("c_nationkey") % 8).alias("acquisition_channel"),
-            F.col("c_mktsegment").alias("customer_segment"),
+        places = self.read("nation").join(self.read("region").withColumnRenamed("r_regionkey", "n_regionkey"),
+                                          "n_regionkey")
+        named = self.read("customer").withColumnRenamed("c_nationkey", "n_nationkey").join(places, "n_nationkey")
+        return named.selectExpr(
+            f"{key_text('C', 'c_custkey')} AS customer_id",
+            "c_name AS customer_name",
+            "date_add(DATE'1995-01-01', cast(c_custkey * 37 % 1800 AS int)) AS signup_date",
+            "n_name AS country",
+            "r_name AS city",
+            f"{pick(DEVICES, 'c_custkey % 4')} AS device",
+            f"{pick(CHANNELS, 'n_nationkey % 8')} AS acquisition_channel",
+            "c_mktsegment AS customer_segment",
         )
 
     def products(self) -> DataFrame:
         """Missing costs stay missing here; filling them is the work of the cleaning job."""
-        key = F.col("p_partkey")
-        price = cents(F.col("p_retailprice"))
-        return self.read("part").select(
-            key_text("P", key).alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.concat(F.lit("Size "), F.col("p_size").cast("string")).alias("subcategory"),
-            F.col("p_brand").alias("brand"),
-            F.when(key % 25 != 0, from_cents(F.floor(price * 6 / 10))).alias("cost"),
-            F.when(key % 97 == 0, F.lit(-1).cast(MONEY)).otherwise(from_cents(price)).alias("selling_price"),
-            (key % 25 == 0).alias("cost_is_estimated"),
-            (key % 97 == 0).alias("price_is_invalid"),
+        price = cents("p_retailprice")
+        return self.read("part").selectExpr(
+            f"{key_text('P', 'p_partkey')} AS product_id",
+            "p_name AS product_name",
+            "p_type AS category",
+            "concat('Size ', cast(p_size AS string)) AS subcategory",
+            "p_brand AS brand",
+            f"CASE WHEN p_partkey % 25 <> 0 THEN {from_cents(f'{price} * 6 div 10')} END AS cost",
+            f"CASE WHEN p_partkey % 97 = 0 THEN cast(-1 AS decimal(12,2)) ELSE {from_cents(price)} END AS selling_price",
+            "p_partkey % 25 = 0 AS cost_is_estimated",
+            "p_partkey % 97 = 0 AS price_is_invalid",
         )
 
     def orders(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "Completed")
-            .when(F.col("o_orderstatus") == "O", "Pending")
-            .when(key % 2 == 0, "Cancelled")
-            .otherwise("Returned")
-        )
-        return self.read("orders").select(
-            key_text("O", key).alias("order_id"),
-            key_text("C", F.col("o_custkey")).alias("customer_id"),
-            F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
-            status.alias("order_status"),
-            F.col("o_orderpriority").alias("payment_method"),
-            F.when(key % 11 != 0, from_cents(key % 4 * 5, FRACTION)).alias("discount"),
-            (key % 10 + 5).cast(MONEY).alias("shipping_cost"),
+        return self.read("orders").selectExpr(
+            f"{key_text('O', 'o_orderkey')} AS order_id",
+            f"{key_text('C', 'o_custkey')} AS customer_id",
+            "o_orderdate AS order_date",
+            "CASE WHEN o_orderstatus = 'F' THEN 'Completed' WHEN o_orderstatus = 'O' THEN 'Pending' "
+            "WHEN o_orderkey % 2 = 0 THEN 'Cancelled' ELSE 'Returned' END AS order_status",
+            "o_orderpriority AS payment_method",
+            f"CASE WHEN o_orderkey % 11 <> 0 THEN {from_cents('o_orderkey % 4 * 5', 'decimal(6,4)')} END AS discount",
+            "cast(o_orderkey % 10 + 5 AS decimal(12,2)) AS shipping_cost",
         )
 
     def items_with_line(self) -> DataFrame:
         """Order items together with the columns that only the returns need."""
-        quantity = F.col("l_quantity").cast("int")
-        unit = F.when(F.col("l_partkey") % 150 == 7, F.lit(0).cast("bigint")).otherwise(
-            F.floor(cents(F.col("l_extendedprice")) / quantity)
-        )
-        item = F.concat_ws(
-            "-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
-        )
-        return self.read("lineitem").select(
-            item.alias("order_item_id"),
-            key_text("O", F.col("l_orderkey")).alias("order_id"),
-            key_text("P", F.col("l_partkey")).alias("product_id"),
-            quantity.alias("quantity"),
-            from_cents(unit).alias("unit_price"),
-            from_cents(unit * quantity).alias("line_total"),
+        quantity = "cast(l_quantity AS int)"
+        unit = f"CASE WHEN l_partkey % 150 = 7 THEN 0 ELSE {cents('l_extendedprice')} div {quantity} END"
+        priced = self.read("lineitem").selectExpr("*", f"{quantity} AS quantity", f"{unit} AS unit_cents")
+        return priced.selectExpr(
+            "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS order_item_id",
+            f"{key_text('O', 'l_orderkey')} AS order_id",
+            f"{key_text('P', 'l_partkey')} AS product_id",
+            "quantity",
+            f"{from_cents('unit_cents')} AS unit_price",
+            f"{from_cents('unit_cents * quantity')} AS line_total",
             "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate",
         )
 
@@ -127,78 +129,74 @@ class StarTables:
     def payments(self) -> DataFrame:
         from marketloom.operators.base import order_facts
 
-        shop = self.shop()
-        return order_facts(shop).select(
-            F.regexp_replace("order_id", "^O", "Y").alias("payment_id"),
+        return order_facts(self.shop()).selectExpr(
+            "regexp_replace(order_id, '^O', 'Y') AS payment_id",
             "order_id",
-            F.round(F.col("net") + F.col("shipping_cost"), 2).cast(AMOUNT).alias("amount"),
-            F.lit("Success").alias("payment_status"),
-            F.col("order_date").alias("payment_date"),
+            "cast(round(net + shipping_cost, 2) AS decimal(18,2)) AS amount",
+            "'Success' AS payment_status",
+            "order_date AS payment_date",
         )
 
     def returns(self) -> DataFrame:
-        chosen = (F.col("l_partkey") + F.col("l_suppkey") + F.col("l_linenumber")) % 4 == 0
-        items = self.items_with_line().filter((F.col("l_returnflag") == "R") & chosen)
-        return items.join(self.orders().select("order_id", "customer_id"), "order_id").select(
-            F.concat(F.lit("R"), "order_item_id").alias("return_id"),
+        items = self.items_with_line().filter(
+            "l_returnflag = 'R' AND (l_partkey + l_suppkey + l_linenumber) % 4 = 0"
+        )
+        return items.join(self.orders().select("order_id", "customer_id"), "order_id").selectExpr(
+            "concat('R', order_item_id) AS return_id",
             "order_id", "customer_id", "product_id",
-            F.to_date("l_shipdate").alias("return_date"),
-            pick(REASONS, F.col("l_suppkey") % 6).alias("return_reason"),
-            F.col("line_total").alias("refund_amount"),
+            "cast(l_shipdate AS date) AS return_date",
+            f"{pick(REASONS, 'l_suppkey % 6')} AS return_reason",
+            "line_total AS refund_amount",
         )
 
     def marketing_campaigns(self) -> DataFrame:
         """Orders are added up per customer and day before they meet the customers."""
-        per_customer = self.read("orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("date")).agg(
+        from pyspark.sql import functions as F
+
+        per_customer = self.read("orders").groupBy(
+            F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")
+        ).agg(
             F.count("*").alias("n"),
-            F.sum(F.col("o_orderkey") % 97).alias("extra_spend"),
-            F.sum(F.col("o_orderkey") % 500).alias("extra_impressions"),
+            F.expr("sum(o_orderkey % 97)").alias("extra_spend"),
+            F.expr("sum(o_orderkey % 500)").alias("extra_impressions"),
         )
-        channel = pick(CHANNELS, F.col("c_nationkey") % 8)
-        daily = (
-            per_customer.join(self.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy("date", channel.alias("channel"))
-            .agg(
-                (F.sum("n") * 40 + F.sum("extra_spend")).cast(MONEY).alias("spend"),
-                (F.sum("n") * 1000 + F.sum("extra_impressions")).alias("impressions"),
-            )
+        channels = self.read("customer").selectExpr("c_custkey", f"{pick(CHANNELS, 'c_nationkey % 8')} AS channel")
+        daily = per_customer.join(channels, "c_custkey").groupBy("date", "channel").agg(
+            F.expr("cast(sum(n) * 40 + sum(extra_spend) AS decimal(12,2))").alias("spend"),
+            F.expr("sum(n) * 1000 + sum(extra_impressions)").alias("impressions"),
         )
-        clicks = F.floor(F.col("impressions") / 40)
-        return daily.select(
+        return daily.selectExpr(
             "date", "channel",
-            F.concat_ws(" ", "channel", F.year("date").cast("string")).alias("campaign"),
+            "concat_ws(' ', channel, year(date)) AS campaign",
             "spend",
-            F.col("impressions").cast("int").alias("impressions"),
-            clicks.cast("int").alias("clicks"),
-            F.floor(clicks / 24).cast("int").alias("conversions"),
+            "cast(impressions AS int) AS impressions",
+            "cast(impressions div 40 AS int) AS clicks",
+            "cast(impressions div 40 div 24 AS int) AS conversions",
         )
 
     def web_events(self) -> DataFrame:
-        key = F.col("event_id")
-        name = F.element_at(
-            F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair]), F.col("event_type")
-        )
-        session = F.concat_ws("-", F.lit("S"), F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd"))
-        return self.read("events").select(
-            key_text("E", key).alias("event_id"),
-            key_text("C", F.col("user_id")).alias("customer_id"),
-            F.col("ts").cast("timestamp_ntz").alias("event_timestamp"),
-            name.alias("event_name"),
-            F.when(key % 100 == 0, "UNKNOWN_SESSION").otherwise(session).alias("session_id"),
-            F.when(F.col("event_type").isin("click", "signup"), key_text("P", key % 200)).alias("product_id"),
+        names = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in EVENT_NAMES.items())
+        return self.read("events").selectExpr(
+            f"{key_text('E', 'event_id')} AS event_id",
+            f"{key_text('C', 'user_id')} AS customer_id",
+            "ts AS event_timestamp",
+            f"CASE event_type {names} END AS event_name",
+            "CASE WHEN event_id % 100 = 0 THEN 'UNKNOWN_SESSION' "
+            "ELSE concat_ws('-', 'S', user_id, date_format(ts, 'yyyyMMdd')) END AS session_id",
+            f"CASE WHEN event_type IN ('click', 'signup') THEN {key_text('P', 'event_id % 200')} END AS product_id",
         )
 
     def experiments(self) -> DataFrame:
-        key = F.col("c_custkey")
-        treated = F.floor(key / 2) % 2 == 1
-        converted = (key * 7919 % 1000 < F.when(treated, 141).otherwise(118)).cast("int")
-        return self.read("customer").select(
-            F.lit(EXPERIMENT).alias("experiment_id"),
-            key_text("C", key).alias("customer_id"),
-            F.when(treated, "treatment").otherwise("control").alias("variant"),
-            F.date_add(F.lit("2000-06-01").cast("date"), (key % 30).cast("int")).alias("experiment_date"),
-            converted.alias("converted"),
-            (converted * (key % 5000 + 1000)).cast(MONEY).alias("revenue"),
+        drawn = self.read("customer").selectExpr("c_custkey AS k", "c_custkey div 2 % 2 = 1 AS treated")
+        return drawn.selectExpr(
+            "k", "treated", "cast(k * 7919 % 1000 < CASE WHEN treated THEN 141 ELSE 118 END AS int) AS converted"
+        ).selectExpr(
+            f"'{EXPERIMENT}' AS experiment_id",
+            f"{key_text('C', 'k')} AS customer_id",
+            "CASE WHEN treated THEN 'treatment' ELSE 'control' END AS variant",
+            "date_add(DATE'2000-06-01', cast(k % 30 AS int)) AS experiment_date",
+            "converted",
+            "cast(converted * (k % 5000 + 1000) AS decimal(12,2)) AS revenue",
         )
 
     def shop(self) -> Shop:
