@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Other spellings of a date that are rewritten to yyyy-MM-dd before parsing.
 DATE_SPELLINGS = (
@@ -47,9 +47,17 @@ def epoch_micros(stamp: Column) -> Column:
 def fill_days(daily: DataFrame, day: str, value: str) -> DataFrame:
     """One row per calendar day from the first to the last day of ``daily``, 0 where it has none.
 
-    ``daily`` is already one row per day, so the calendar is as small as it.
+    ``daily`` is one row per day and read once: each row also gives the empty days up to the next one. The
+    unpartitioned window is as long as the calendar, whatever the data's size.
     """
-    span = daily.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).filter("lo IS NOT NULL")
-    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias(day))
+    following = F.lead(day).over(Window.orderBy(day))
+    spread = (
+        daily.filter(F.col(day).isNotNull())
+        .withColumn("_last", F.coalesce(F.date_sub(following, 1), F.col(day)))
+        .select(F.explode(F.sequence(F.col(day), F.col("_last"))).alias("_day"), day, value)
+    )
     kind = daily.schema[value].dataType
-    return calendar.join(daily, day, "left").select(day, F.coalesce(value, F.lit(0).cast(kind)).alias(value))
+    return spread.select(
+        F.col("_day").alias(day),
+        F.when(F.col("_day") == F.col(day), F.col(value)).otherwise(F.lit(0).cast(kind)).alias(value),
+    )

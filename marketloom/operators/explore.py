@@ -27,11 +27,10 @@ def monthly_series(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 
 def status_mix(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
+    """Orders without status count in the total only; one row per status, so the total is a window over them."""
+    total = F.sum("orders").over(Window.partitionBy())
     counts = shop.orders.groupBy("order_status").agg(F.count("*").alias("orders"))
-    total = shop.orders.agg(F.count("*")).scalar()
-    return counts.filter("order_status IS NOT NULL").withColumn(
-        "pct_of_total", percent(F.col("orders"), total, 1)
-    )
+    return counts.withColumn("pct_of_total", percent(F.col("orders"), total, 1)).filter("order_status IS NOT NULL")
 
 
 def channel_mix(shop: Shop, params: Params = DEFAULTS) -> DataFrame:

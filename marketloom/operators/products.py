@@ -84,8 +84,12 @@ def product_pairs(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     every pair once. Between the joins the data change their partitioning, so Spark may split any skewed join.
     """
     names = shop.products.select("product_id", "product_name")
-    lines = shop.order_items.groupBy("order_id", "product_id").agg(F.count("*").alias("lines"))
-    block_count = F.ceil(F.count("*") / params.pair_block).cast("int")
+    items = shop.order_items.filter("order_id IS NOT NULL AND product_id IS NOT NULL")
+    lines = items.groupBy("order_id", "product_id").agg(F.count("*").alias("lines"))
+    # There are never more products than lines; naming the lines keeps the shuffled columns equal to those of the
+    # other use of ``lines``, so that Spark shuffles the items once.
+    products = F.least(F.count("*"), F.sum("lines"))
+    block_count = F.ceil(products / params.pair_block).cast("int")
     orders = completed_orders(shop).select("order_id").join(
         lines.groupBy("order_id").agg(block_count.alias("blocks")), "order_id"
     )

@@ -17,17 +17,23 @@ class Shop:
         self._read = read
         self._known: dict[str, DataFrame] = {}
         self._keep: Callable[[DataFrame, str], DataFrame] | None = None
+        self._kept_names: tuple[str, ...] = ()
         self._shared: dict[tuple, DataFrame] = {}
 
-    def keeping(self, keep: Callable[[DataFrame, str], DataFrame]) -> "Shop":
-        """The same tables, with results that several analyses share computed once and stored by ``keep``."""
+    def keeping(self, keep: Callable[[DataFrame, str], DataFrame], *names: str) -> "Shop":
+        """The same tables, with results that several analyses share computed once and stored by ``keep``.
+
+        ``names`` limits this to some of the shared results; a shop that keeps already stays as it is.
+        """
+        if self._keep is not None:
+            return self
         other = Shop(self.spark, self.table)
-        other._keep = keep
+        other._keep, other._kept_names = keep, names
         return other
 
     def shared(self, name: str, build: Callable[[], DataFrame], *settings) -> DataFrame:
         """The result of ``build``; in a keeping shop the stored one, told apart by name and settings."""
-        if self._keep is None:
+        if self._keep is None or (self._kept_names and name not in self._kept_names):
             return build()
         key = (name, *settings)
         if key not in self._shared:
