@@ -26,12 +26,12 @@ def running_totals(df: DataFrame, group: list[str], order: list, totals: dict[st
     ``order`` should be unique within a group, or equal keys be added up before, so that a frequent key does
     not make one part large.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A struct of the group columns is never null, so it joins by plain equality on the window's own keys.
     ranged = written(
         df.withColumn("_group", F.struct(*group) if group else F.lit(0))
         .withColumns({f"_add_{name}": value for name, value in totals.items()})
-        .repartitionByRange(parts, *group, *order)
+        # Without a number adaptive execution merges neighbouring small ranges, so parts follow the data's size.
+        .repartitionByRange(*group, *order)
         .withColumn("_part", F.spark_partition_id()),
         "ranges",
     )

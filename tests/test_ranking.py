@@ -7,6 +7,15 @@ from pyspark.sql import Window, functions as F
 from marketloom.operators.ranking import exact_percentiles, ranked_measures, running_totals, tile_of
 
 
+@pytest.fixture(params=["merged", "separate"], autouse=True)
+def range_parts(spark, request):
+    """Small data end up in one range; ``separate`` keeps all of them."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param == "merged")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.fixture(scope="module")
 def values(spark):
     # A third of all rows share one value; two groups, one of them null.
@@ -16,6 +25,13 @@ def values(spark):
     )
 
 
+def test_ranges_are_kept_apart(spark, values, range_parts, request):
+    summed = running_totals(values, [], ["v", "id"], {"rank": F.lit(1)})
+    assert summed.agg(F.countDistinct("rank"), F.max("rank")).first()[:] == (3001, 3001)
+    files = len({f for f in values.repartitionByRange("v", "id").select(F.spark_partition_id()).distinct().collect()})
+    assert files > 1 or "merged" in request.node.name
+
+
 def test_running_totals_equal_a_window(values):
     summed = running_totals(values, ["g"], ["v", "id"], {"total": F.col("v"), "rank": F.lit(1)})
     w = Window.partitionBy("g").orderBy("v", "id").rowsBetween(Window.unboundedPreceding, 0)
