@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -22,6 +23,8 @@ FEATURES = (
     "discount_usage",
 )
 CLASSES = ("Active", "Churned")
+# Training rows per task, and the most tasks of one pass.
+ROWS_PER_PART, MOST_PARTS = 20_000, 4_000
 RISK_BANDS = ("Low Risk", "Medium Risk", "High Risk")
 
 
@@ -134,11 +137,11 @@ def class_weights(train: DataFrame) -> DataFrame:
 def churn_forest(shop: Shop, params: Params = DEFAULTS) -> ChurnForest:
     features = written(churn_features(shop, params), "churn-features")
     split = written(stratified_split(features, "churned", "customer_id", params), "churn-split")
-    parts = int(shop.spark.conf.get("spark.sql.shuffle.partitions"))
-    # Bootstrapping draws per partition and row, hence a fixed number, content and order of partitions.
-    train = class_weights(split.filter("NOT is_test")).repartition(parts, "customer_id").sortWithinPartitions(
-        "customer_id"
-    )
+    train = class_weights(split.filter("NOT is_test"))
+    # Bootstrapping draws per partition and row, hence a number, content and order of partitions that depend on the
+    # rows only. Each tree level is one pass, so tiny partitions would cost more than they give.
+    parts = max(1, min(MOST_PARTS, math.ceil(train.count() / ROWS_PER_PART)))
+    train = train.repartition(parts, "customer_id").sortWithinPartitions("customer_id")
     forest = RandomForestClassifier(
         numTrees=params.forest_trees, maxDepth=params.forest_depth, seed=params.seed, labelCol="churned",
         weightCol="weight", maxMemoryInMB=1024,
