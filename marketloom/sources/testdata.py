@@ -114,7 +114,7 @@ class StarTables:
         unit = f"CASE WHEN l_partkey % 150 = 7 THEN 0 ELSE {cents('l_extendedprice')} div {quantity} END"
         priced = self.read("lineitem").selectExpr("*", f"{quantity} AS quantity", f"{unit} AS unit_cents")
         return priced.selectExpr(
-            "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS order_item_id",
+            f"concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, {cents('l_extendedprice')}) AS order_item_id",
             f"{key_text('O', 'l_orderkey')} AS order_id",
             f"{key_text('P', 'l_partkey')} AS product_id",
             "quantity",
