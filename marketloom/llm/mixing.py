@@ -80,7 +80,8 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     slots = points.select("src", F.conv(F.reverse(F.lpad(F.bin("point"), bits, "0")), 2, 10).cast("long").alias("slot"))
     # Rank per source in stretches of time; every stretch holds an even share of each source.
     stretch = max(0, bits - max(0, math.ceil(math.log2(max(1, total) / SLOTS_PER_WINDOW))))
-    slots = slots.withColumn("stretch", F.shiftright("slot", stretch))
+    # Stored, as Spark can't know how many rows explode makes and would broadcast them.
+    slots = stored(slots.withColumn("stretch", F.shiftright("slot", stretch)), "mix-slots")
     before = Window.partitionBy("src").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slots.groupBy("src", "stretch").agg(F.count("*").alias("n")).select(
         "src", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")
