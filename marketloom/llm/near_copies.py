@@ -146,12 +146,10 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     """Links ``a, b``: enough of the candidate pairs to connect all classes that similarity 0.8 connects.
 
     Pairs that belong together go to one group, so that a text travels about once: a pair's place is the least node
-    within two steps. A place with many pairs is dealt by its first node.
+    that its first one meets. A place with many pairs is dealt by its first node.
     """
-    around = both_ways(pairs)
-    near = around.groupBy("a").agg(F.least("a", F.min("b")).alias("near"))
-    near2 = around.join(near.select(F.col("a").alias("b"), F.col("near").alias("next")), "b").groupBy("a").agg(F.min("next").alias("place"))
-    placed = stored(pairs.join(near2, "a"), "pairs")
+    near = both_ways(pairs).groupBy("a").agg(F.least("a", F.min("b")).alias("place"))
+    placed = stored(pairs.join(near, "a"), "pairs")
     per_place = placed.groupBy("place").agg(F.count("*").alias("n"))
     groups = -(-placed.count() // GROUP_LINKS) * 4 + 8
     deal = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / GROUP_LINKS))
