@@ -23,8 +23,6 @@ FEATURES = (
     "discount_usage",
 )
 CLASSES = ("Active", "Churned")
-# Training rows per task, and the most tasks of one pass.
-ROWS_PER_PART, MOST_PARTS = 20_000, 4_000
 RISK_BANDS = ("Low Risk", "Medium Risk", "High Risk")
 
 
@@ -140,7 +138,7 @@ def churn_forest(shop: Shop, params: Params = DEFAULTS) -> ChurnForest:
     train = class_weights(split.filter("NOT is_test"))
     # Bootstrapping draws per partition and row, hence a number, content and order of partitions that depend on the
     # rows only. Each tree level is one pass, so tiny partitions would cost more than they give.
-    parts = max(1, min(MOST_PARTS, math.ceil(train.count() / ROWS_PER_PART)))
+    parts = max(1, math.ceil(train.count() / params.forest_rows_per_part))
     train = train.repartition(parts, "customer_id").sortWithinPartitions("customer_id")
     forest = RandomForestClassifier(
         numTrees=params.forest_trees, maxDepth=params.forest_depth, seed=params.seed, labelCol="churned",

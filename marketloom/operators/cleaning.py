@@ -74,9 +74,17 @@ def fill_labels(labels: dict[str, str]) -> Rule:
     return lambda df: df.fillna(labels)
 
 
+def whole_number(column: str, kind: str) -> Column:
+    """A whole number however it is spelled: ``2``, ``2.0``, ``2e0``; anything else is null."""
+    exact = F.col(column).try_cast("decimal(38,9)")
+    return F.when(exact == F.floor(exact), exact).try_cast(kind)
+
+
 def numbers(**kinds) -> Rule:
     """Text to number; text that is no number becomes null."""
-    return lambda df: df.withColumns({c: F.col(c).try_cast(kind) for c, kind in kinds.items()})
+    return lambda df: df.withColumns({
+        c: whole_number(c, kind) if kind in ("int", "bigint") else F.col(c).try_cast(kind) for c, kind in kinds.items()
+    })
 
 
 def zero_if_missing(*columns: str) -> Rule:
@@ -240,7 +248,7 @@ class Cleaning:
     def experiments(self) -> DataFrame:
         return self._finished("experiments", self._run(
             "experiments", drop_repeated_rows, valid_time("experiment_date", "date"),
-            listed("variant", VARIANTS),
+            listed("variant", VARIANTS), numbers(converted="int"),
         ))
 
     def table(self, name: str) -> DataFrame:

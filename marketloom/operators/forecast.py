@@ -111,6 +111,8 @@ def error_deviation(backtest: DataFrame) -> DataFrame:
 
 
 def forecast_totals(future: DataFrame, spans: tuple[int, ...] = (30, 60, 90)) -> DataFrame:
+    """Totals of the next days; null for a span that the forecast does not reach."""
     return future.agg(*[
-        F.sum(F.when(F.col("days_ahead") <= n, F.col("forecast_revenue"))).alias(f"next_{n}_days") for n in spans
+        F.when(F.max("days_ahead") >= n, F.sum(F.when(F.col("days_ahead") <= n, F.col("forecast_revenue"))))
+        .alias(f"next_{n}_days") for n in spans
     ])

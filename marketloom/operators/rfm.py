@@ -11,16 +11,16 @@ from marketloom.operators.ranking import interpolated, ranked_measures, tile_of
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
 
-# Lowest and highest R, F and M score of each segment; the first row that fits wins.
+# What the R, F and M scores of each segment must satisfy; the first row that fits wins.
 SEGMENT_RULES = (
-    ("Champions", (4, 5), (4, 5), (4, 5)),
-    ("Loyal Customers", (3, 5), (3, 5), (1, 5)),
-    ("New Customers", (4, 5), (1, 2), (1, 5)),
-    ("Potential Loyalists", (3, 5), (1, 3), (3, 5)),
-    ("Cannot Lose Them", (1, 2), (4, 5), (4, 5)),
-    ("At Risk", (1, 2), (3, 5), (1, 5)),
-    ("Lost", (1, 2), (1, 2), (1, 2)),
-    ("Hibernating", (1, 3), (1, 2), (1, 5)),
+    ("Champions", "r >= 4 AND f >= 4 AND m >= 4"),
+    ("Loyal Customers", "r >= 3 AND f >= 3"),
+    ("New Customers", "r >= 4 AND f <= 2"),
+    ("Potential Loyalists", "r >= 3 AND f <= 3 AND m >= 3"),
+    ("Cannot Lose Them", "r <= 2 AND f >= 4 AND m >= 4"),
+    ("At Risk", "r <= 2 AND f >= 3"),
+    ("Lost", "r <= 2 AND f <= 2 AND m <= 2"),
+    ("Hibernating", "r <= 3 AND f <= 2"),
 )
 NO_SEGMENT = "Others"
 
@@ -39,11 +39,14 @@ SEGMENT_ACTIONS = {
 
 
 def segment(r: Column, f: Column, m: Column) -> Column:
-    label = None
-    for name, r_range, f_range, m_range in SEGMENT_RULES:
-        fits = r.between(*r_range) & f.between(*f_range) & m.between(*m_range)
-        label = F.when(fits, name) if label is None else label.when(fits, name)
-    return label.otherwise(NO_SEGMENT)
+    scores, met = {"r": r, "f": f, "m": m}, {">=": Column.__ge__, "<=": Column.__le__}
+    labels = []
+    for name, rule in SEGMENT_RULES:
+        fits = F.lit(True)
+        for score, sign, bound in (condition.split() for condition in rule.split(" AND ")):
+            fits = fits & met[sign](scores[score], int(bound))
+        labels.append(F.when(fits, name))
+    return F.coalesce(*labels, F.lit(NO_SEGMENT))
 
 
 def total_score() -> Column:

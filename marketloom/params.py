@@ -24,6 +24,8 @@ class Params:
     churned_limit: int = 100
     forest_trees: int = 200
     forest_depth: int = 8
+    # Training rows per task; the number of tasks grows with the rows, and the bootstrap depends on it.
+    forest_rows_per_part: int = 20_000
     seed: int = 42
     test_share: float = 0.25
     risk_low: float = 0.3

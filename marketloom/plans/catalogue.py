@@ -49,7 +49,7 @@ VIEWS: dict[str, View] = {
     "C5v": View("vw_c5_biggest_drop_off_stage", funnel.drop_off, ("-sessions_lost", "stage")),
     "D1": View("vw_d1_cohort_retention_table", customers.cohort_retention, ("cohort_month", "month_number")),
     "D2": View("vw_d2_retention_by_acquisition_channel", customers.channel_retention,
-               ("-retention_month3_pct", "acquisition_channel")),
+               ("-retention_month{retention_month}_pct", "acquisition_channel")),
     "E1": View("vw_e1_raw_rfm_values_per_customer", rfm.rfm_values, ("-monetary", "customer_id")),
     "E2": View("vw_e2_rfm_scores", rfm.rfm_scores, ("-rfm_total_score", "customer_id")),
     "E3": View("vw_e3_full_rfm_segmentation", rfm.rfm_segments, ("-monetary", "customer_id")),
@@ -78,9 +78,10 @@ def in_order(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
 
 
 def view(shop: Shop, view_id: str, params: Params = DEFAULTS) -> DataFrame:
-    """The view as its readers see it, in its own order."""
+    """The view as its readers see it, in its own order. Column names in it may depend on the retention month."""
     entry = VIEWS[view_id]
-    return in_order(entry.run(shop, params), entry.order)
+    order = tuple(c.format(retention_month=params.retention_month) for c in entry.order)
+    return in_order(entry.run(shop, params), order)
 
 
 def register_views(shop: Shop, params: Params = DEFAULTS) -> list[str]:

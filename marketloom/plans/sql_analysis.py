@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
+from marketloom.operators.evidence import ROUTES, SECTIONS
 from marketloom.plans.sql_views import EDGES, VIEWS
 from marketloom.plans.sqlparts import CTES, RECURSIVE, big, money, net, net2, ratio
 
-WORDS = {
-    "ml_predictions": "churn retention risk at-risk rfm segment customer_value clv loyal champion growth strategy "
-                      "recommend opportunity what_should",
-    "ab_testing": "checkout experiment a/b ab_test variant ship growth strategy recommend opportunity what_should",
-    "sql_analytics": "rfm segment customer_value clv loyal champion revenue sales aov order product category marketing "
-                     "cac funnel conversion cohort growth strategy recommend opportunity what_should",
-    "python_analytics": "churn retention risk rfm segment customer_value clv loyal champion revenue sales aov order "
-                        "product category marketing cac funnel conversion cohort forecast anomaly predict growth "
-                        "strategy recommend opportunity what_should",
-}
-
-
 def _filled(source: str, day: str, value: str) -> str:
     return f"""SELECT CAST(d AS DATE) AS day, coalesce(v, 0) AS v
         FROM (SELECT unnest(generate_series(min({day})::TIMESTAMP, max({day})::TIMESTAMP, INTERVAL 1 DAY)) AS d
@@ -313,13 +302,13 @@ ANALYSIS["M7"] = " UNION ALL ".join([
     _long("returns_by_reason", "return_reason", "num_returns", "by_reason"),
     _long("bought_together", "product_a_name || ' + ' || product_b_name", "times_bought_together", "pairs"),
 ])
-_MATCH = {
-    section: " OR ".join(f"contains(q, '{w.replace('_', ' ')}')" for w in words.split())
-    for section, words in WORDS.items()
-}
-ANALYSIS["P8"] = (
-    "SELECT conv_id, turn, CASE WHEN s = '' THEN '" + ",".join(WORDS) + "' ELSE s END AS sections FROM (SELECT conv_id, "
-    "CAST(turn AS BIGINT) AS turn, concat_ws(',', "
-    + ", ".join(f"CASE WHEN {m} THEN '{s}' END" for s, m in _MATCH.items())
-    + ") AS s FROM (SELECT conv_id, turn, lower(text) AS q FROM conversations))"
-)
+# One row per word and section that it asks for.
+_ASKED = ", ".join(f"('{word}', '{section}')" for words, sections in ROUTES for word in words for section in sections)
+_ORDER = "list_position([" + ", ".join(f"'{s}'" for s in SECTIONS) + "], section)"
+ANALYSIS["P8"] = f"""
+    SELECT conv_id, turn, coalesce(string_agg(section, ',' ORDER BY {_ORDER}), '{",".join(SECTIONS)}') AS sections
+    FROM (SELECT DISTINCT place, conv_id, turn, section
+          FROM (SELECT row_number() OVER () AS place, conv_id, CAST(turn AS BIGINT) AS turn, lower(text) AS question
+                FROM conversations)
+          LEFT JOIN (VALUES {_ASKED}) AS asked(word, section) ON contains(question, word))
+    GROUP BY place, conv_id, turn"""

@@ -14,15 +14,16 @@ from marketloom.shop import Shop
 # How timestamps without zone are spelled in CSV files, on both ways.
 _STAMPS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 _CSV = {"header": True, "escape": '"', "enforceSchema": False, **_STAMPS}
+_AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """The raw table as text, missing-value spellings as null, and ``_seq`` as the place in the files.
 
     Ids grow within a split and splits carry their offset, so (file, split, id) is the order of the rows in the
-    files however Spark packs splits into tasks.
+    files however Spark packs splits into tasks. With ``multi_line`` values may hold line breaks; such files are not split.
     """
-    rows = spark.read.schema(raw_schema(table)).options(**_CSV).csv(path)
+    rows = spark.read.schema(raw_schema(table)).options(multiLine=multi_line, **_CSV).csv(path)
     place = F.struct(
         F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
         F.monotonically_increasing_id().alias("row"),
@@ -31,14 +32,22 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return rows.select(*texts, place.alias("_seq"))
 
 
-def read_clean_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_clean_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """The cleaned table with dates and numbers parsed; a value of the wrong type is an error."""
-    return spark.read.schema(CLEAN[table]).options(mode="FAILFAST", **_CSV).csv(path)
+    return spark.read.schema(CLEAN[table]).options(mode="FAILFAST", multiLine=multi_line, **_CSV).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """With header, without index. One file per task; nothing is pulled into one."""
-    df.write.options(header=True, escape='"', **_STAMPS).csv(path)
+def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+    """With header, without index. One file per task; nothing is pulled into one.
+
+    Padding stays as it is. A line break within a value is an error unless ``multi_line`` says that readers expect it.
+    """
+    if not multi_line:
+        broken = F.raise_error(F.lit("a value holds a line break: write and read with multi_line"))
+        df = df.withColumns({
+            c: F.when(F.col(c).rlike("[\r\n]"), broken).otherwise(F.col(c)) for c, kind in df.dtypes if kind == "string"
+        })
+    df.write.options(header=True, escape='"', **_AS_IS, **_STAMPS).csv(path)
 
 
 def write_result_csv(df: DataFrame, path: str) -> None:

@@ -96,7 +96,9 @@ class RawTables:
             "_seq", "order_item_id", "order_id",
             F.when(_every(61, "l_partkey"), "P-none").otherwise(F.col("product_id")).alias("product_id"),
             F.when(F.col("_seq") == 1, "99").when(F.col("l_suppkey") % 40 == 7, "0")
-            .when(F.col("l_suppkey") % 40 == 8, "-1").otherwise(_text("quantity")).alias("quantity"),
+            .when(F.col("l_suppkey") % 40 == 8, "-1")
+            .when(F.col("l_suppkey") % 40 == 9, F.concat(_text("quantity"), F.lit(".0")))
+            .otherwise(_text("quantity")).alias("quantity"),
             _text("unit_price").alias("unit_price"),
         )
 
@@ -122,7 +124,7 @@ class RawTables:
             F.when(_every(41), "bad").otherwise(_text("date")).alias("date"),
             "channel", "campaign",
             F.when(~_every(37), _text("spend")).alias("spend"),
-            _text("impressions").alias("impressions"),
+            F.when(_every(3), F.concat(_text("impressions"), F.lit(".0"))).otherwise(_text("impressions")).alias("impressions"),
             F.when(_every(43), _text(F.col("impressions") + 1)).otherwise(_text("clicks")).alias("clicks"),
             F.when(_every(47), _text(F.col("clicks") + 1)).otherwise(_text("conversions")).alias("conversions"),
         )

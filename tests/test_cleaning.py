@@ -145,3 +145,10 @@ def test_keeping_the_first_is_idempotent_and_limits_map_tasks(cleaning):
     assert sorted(once.collect()) == sorted(once.transform(keep_first("order_id")).collect())
     plan = once._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_whole_numbers_in_any_spelling(spark):
+    from marketloom.operators.cleaning import whole_number
+
+    rows = spark.createDataFrame([("2",), ("2.0",), ("1e1",), ("-3.00",), ("2.5",), ("x",), (None,)], "n string")
+    assert [r[0] for r in rows.select(whole_number("n", "int")).collect()] == [2, 2, 10, -3, None, None, None]

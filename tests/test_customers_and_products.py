@@ -143,3 +143,22 @@ def test_pairs_equal_brute_force(make_shop, block):
             expected[names[p1], names[p2]] += 1
     got = products.product_pairs(shop, Params(pair_block=block, pair_limit=1000)).collect()
     assert {(a, b): n for a, b, n in got} == {k: n for k, n in expected.items() if n >= 5}
+
+
+def test_segments_for_other_numbers_of_groups(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.operators.rfm import segment
+
+    rows = spark.createDataFrame([(10, 10, 10), (9, 1, 1), (1, 9, 9), (2, 2, 2), (1, 1, 9)], "r int, f int, m int")
+    names = [r[0] for r in rows.select(segment(F.col("r"), F.col("f"), F.col("m"))).collect()]
+    assert names == ["Champions", "New Customers", "Cannot Lose Them", "Lost", "Hibernating"]
+
+
+def test_views_under_another_retention_month(spark):
+    from marketloom import Params
+    from marketloom.plans import catalogue
+    from marketloom.sources.testdata import star_shop
+
+    shop = star_shop(spark, "/root/testdata/sf0.001")
+    assert "retention_month2_pct" in catalogue.view(shop, "D2", Params(retention_month=2)).columns

@@ -120,3 +120,19 @@ def test_routes(spark):
     }
     df = spark.createDataFrame([(q,) for q in questions], "q string")
     assert {r.q: r.sections for r in evidence.routed(df, "q").collect()} == questions
+
+
+def test_csv_keeps_padding_and_refuses_line_breaks(spark, tmp_path):
+    import pytest
+
+    from marketloom.sources import files
+
+    rows = spark.createDataFrame([("  a b ", "x"), ("q\"t,", "")], "left string, right string")
+    files.write_csv(rows, f"{tmp_path}/padded")
+    back = spark.read.options(header=True, escape='"').csv(f"{tmp_path}/padded")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect())) or {r[0] for r in back.collect()} == {"  a b ", "q\"t,"}
+    broken = spark.createDataFrame([("x\ny",)], "left string")
+    with pytest.raises(Exception, match="line break"):
+        files.write_csv(broken, f"{tmp_path}/broken")
+    files.write_csv(broken, f"{tmp_path}/lines", multi_line=True)
+    assert spark.read.options(header=True, escape='"', multiLine=True).csv(f"{tmp_path}/lines").first()[0] == "x\ny"
