@@ -35,7 +35,7 @@ SEGMENT_IDS = 1 << 20
 PART_BYTES = 128 << 20
 """Text bytes per range partition, unless the session's shuffle partitions ask for more parts."""
 
-CACHED_PIECES = 400_000
+CACHED_PIECES = 1_000_000
 SAMPLE = 64
 """Every so many entries a select sample holds the position of its bit."""
 
