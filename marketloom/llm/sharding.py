@@ -52,7 +52,7 @@ class Node:
 
 def _dimension(value: Column) -> Column:
     spread = F.least(F.greatest(F.floor(value), F.lit(0)), F.lit(SPAN - 1)).cast("long")
-    return spread * SPAN + F.pmod("text_hash", F.lit(SPAN))
+    return spread * SPAN + F.pmod(F.xxhash64("text_hash", "piece"), F.lit(SPAN))
 
 
 DIMENSIONS = {
@@ -74,7 +74,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def grouped(sizes: DataFrame) -> DataFrame:
     """Groups of equal texts with bytes and coordinates; copies are added up on the map side."""
-    groups = sizes.groupBy(*KEY).agg(
+    groups = sizes.withColumn("piece", F.lit(0).cast("long")).groupBy(*KEY, "piece").agg(
         F.sum("size").alias("bytes"), F.min("source").alias("source"), F.min("lang").alias("lang")
     )
     return groups.withColumns({n: _dimension(of()) for n, of in DIMENSIONS.items()})
@@ -151,16 +151,14 @@ def assigned(sizes: DataFrame, shards: int) -> DataFrame:
     spread = F.lit(0).cast("long")
     for size, crc, text, total in giants:
         same = (F.col("size") == size) & (F.col("text_crc32") == crc) & (F.col("text_hash") == text)
-        spread = F.when(same, F.pmod(F.xxhash64("doc_id"), F.lit(int(total / (target * HEAVY)) + 1))).otherwise(spread)
+        spread = F.when(same, F.pmod(F.xxhash64("doc_id"), F.lit(int(2 * total / (target * HEAVY)) + 1))).otherwise(spread)
     cut = sizes.withColumn("piece", spread)
     if giants:
-        whole = groups.where(F.col("bytes") <= target).withColumn("piece", F.lit(0).cast("long"))
+        whole = groups.where(F.col("bytes") <= target)
         split = cut.join(groups.where(F.col("bytes") > target).select(*KEY), KEY, "left_semi").groupBy(*KEY, "piece").agg(
             F.sum("size").alias("bytes"), F.min("source").alias("source"), F.min("lang").alias("lang")
         ).withColumns({n: _dimension(of()) for n, of in DIMENSIONS.items()})
         groups = stored(whole.unionByName(split), "shard-points")
-    else:
-        groups = groups.withColumn("piece", F.lit(0).cast("long"))
     # Heavy points, at most shards / HEAVY of them, go to the emptiest leaf, heaviest first.
     heavy, taken, rows = groups.where(F.col("bytes") > target * HEAVY), [0] * shards, []
     for r in sorted(heavy.select(*KEY, "piece", "bytes").collect(), key=lambda r: (-r["bytes"], *r)):
