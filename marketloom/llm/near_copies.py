@@ -5,6 +5,10 @@ hashes. Classes that share a prefix form a region; a region with more than ``REG
 adapts to how crowded a place is. Within its region a class meets its neighbours in sorted order, which share the longest
 prefixes. Two sets of similarity 0.8 share four hashes in a tree with probability 0.41, so all ``TREES`` trees miss them
 with 3e-6. A region that stays large at full depth is dealt into parts, and its classes also meet its first one.
+
+Neighbours alone can miss a link in a crowded region, so these are gone through again once the links are known. There a
+class outside its region's largest component is compared, in blocks and by equal minimum hashes, with all classes of
+other components. What could be a link is confirmed like the rest: the best ones first, then all that remain.
 """
 
 from __future__ import annotations
@@ -27,6 +31,15 @@ PART_ROWS = 4096
 GROUP_LINKS = 5_000
 """Candidate pairs that one task confirms at a time."""
 
+BLOCK = 4096
+"""Classes on either side of one comparison of a crowded region."""
+
+COMPARED = 8192
+"""Rows of small comparisons that are done together, about."""
+
+LEAST_EQUAL = 127
+"""Two sets of similarity 0.8 have fewer equal hashes of 192 with a probability of about 3e-6."""
+
 PERCENT = 80
 LEAST_SET = PERCENT // (100 - PERCENT)
 """Smaller sets can only be linked to equal ones."""
@@ -91,8 +104,11 @@ def _pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of classes (``node``, ``signature``) that are neighbours in some tree, with ``votes``."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a < b`` of classes (``node``, ``signature``) that are neighbours in some tree, with ``votes``.
+
+    Also ``node, region`` of the regions, at the least depth, in which not all classes have met.
+    """
     size = 4 * DEPTH
     rows = classes.where("signature is not null").select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     path = F.substring(F.col("signature"), F.col("tree") * size + 1, F.lit(size))
@@ -101,6 +117,8 @@ def candidates(classes: DataFrame) -> DataFrame:
         keyed = rows.withColumn("region", F.xxhash64("tree", F.substring("path", 1, 4 * level)))
         counts = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
         met = stored(keyed.join(counts, "region"), "forest")
+        if level == LEVELS[0]:
+            crowded = met.where(F.col("n") > NEIGHBOURS + 1).select("node", "region")
         if level < LEVELS[-1]:
             found.append(_pairs(met.where(F.col("n") <= REGION), ["region"]))
             rows = met.where(F.col("n") > REGION).select("node", "tree", "path")
@@ -111,7 +129,63 @@ def candidates(classes: DataFrame) -> DataFrame:
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("votes"))
+    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("votes"))
+    return pairs, crowded
+
+
+def _unmet(rows: pd.DataFrame, most: int | None) -> Iterator[tuple]:
+    """Of one comparison, the pairs of an asker and a member that may be links: each asker's ``most`` alike, or all."""
+    asks, node, n = rows["asks"].to_numpy(), rows["node"].to_numpy(), rows["n"].to_numpy()
+    component = pd.factorize(rows["component"])[0]
+    sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+    members = np.flatnonzero(~asks)
+    by_hash = np.ascontiguousarray(sketch[members].T)
+    for k in np.flatnonzero(asks):
+        equal = (by_hash == sketch[k][:, None]).sum(axis=0, dtype=np.uint8)
+        fits = (equal >= LEAST_EQUAL) & (component[members] != component[k])
+        fits &= 100 * np.minimum(n[members], n[k]) >= PERCENT * np.maximum(n[members], n[k])
+        best = np.flatnonzero(fits)
+        if most is not None and len(best) > most:
+            best = best[np.argsort(-equal[best].astype(int), kind="stable")[:most]]
+        yield from ((node[k], node[m], int(e)) for m, e in zip(members[best], equal[best]))
+
+
+def unmet(crowded: DataFrame, classes: DataFrame, joined: DataFrame, most: int | None) -> DataFrame:
+    """Pairs ``a < b`` of crowded regions that may be links between different components, with ``votes`` (equal hashes)."""
+    of = crowded.join(joined, "node", "left").select("node", "region", F.coalesce("component", "node").alias("component"))
+    sizes = of.groupBy("region", "component").agg(F.count("*").alias("n"))
+    mixed = stored(sizes.groupBy("region").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main")
+    ).where("all > main.n").select(
+        "region", F.col("main.component").alias("main"),
+        F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("askers"),
+        F.col("all"), (F.col("all") - F.col("main.n")).alias("others"),
+    ), "mixed-regions")
+    total = mixed.agg(F.sum(F.col("all") * F.col("askers") + F.col("others") * F.col("blocks"))).first()[0] or 0
+
+    @F.pandas_udf("binary")
+    def least_bytes(signatures: pd.Series) -> pd.Series:
+        """A byte of each hash tells nearly as much as the whole one."""
+        return signatures.map(lambda s: bytes(s)[3::4])
+
+    sketches = classes.select("node", "signature", F.col("n_shingles").alias("n"))
+    rows = of.join(mixed, "region").join(sketches, "node").withColumn("sketch", least_bytes("signature"))
+    own = lambda parts: F.pmod(F.xxhash64("node"), F.col(parts))
+    each = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+    columns = ["region", "node", "component", "n", "sketch"]
+    members = rows.select(*columns, F.lit(False).alias("asks"), own("blocks").alias("block"), each("askers").alias("asker"))
+    askers = rows.where("component <> main").select(
+        *columns, F.lit(True).alias("asks"), own("askers").alias("asker"), each("blocks").alias("block")
+    )
+
+    def compare(compared: pd.DataFrame) -> pd.DataFrame:
+        one_by_one = compared.groupby(["region", "block", "asker"])
+        return pd.DataFrame([pair for _, rows in one_by_one for pair in _unmet(rows, most)], columns=["a", "b", "votes"])
+
+    # Many regions are small: about COMPARED rows make one group.
+    group = F.pmod(F.xxhash64("region", "block", "asker"), F.lit(total // COMPARED + 1))
+    pairs = members.unionByName(askers).groupBy(group).applyInPandas(compare, "a binary, b binary, votes long")
+    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("votes").alias("votes"))
 
 
 def _confirm(key: tuple, pairs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
@@ -157,7 +231,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
         placed.join(per_place, "place").select("a", "b", "votes", F.pmod(F.xxhash64("place", deal), F.lit(groups)).alias("group")), "dealt"
     )
     needed = dealt.select("group", F.col("a").alias("node")).unionByName(dealt.select("group", F.col("b").alias("node"))).distinct()
-    needed = needed.join(classes.select("node", "first.doc_id", "first.text_hash"), "node")
+    # Stored, so that Spark knows its size and need not shuffle all texts for few.
+    needed = stored(needed.join(classes.select("node", "first.doc_id", "first.text_hash"), "node"), "needed")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(
         needed.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"}),
         F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")),
@@ -170,11 +245,18 @@ def grouped(docs: DataFrame) -> DataFrame:
     rows = stored(sketched(docs), "sketches")
     classes = stored(
         rows.where("node is not null").groupBy("node").agg(
-            F.min(first_document()).alias("first"), F.first("signature", ignorenulls=True).alias("signature")
+            F.min(first_document()).alias("first"), F.first("signature", ignorenulls=True).alias("signature"),
+            F.first("n_shingles").alias("n_shingles"),
         ), "classes",
     )
-    pairs = stored(candidates(classes), "candidates")
-    joined = components(confirmed(pairs, classes, docs))
+    pairs, crowded = candidates(classes)
+    joined = components(confirmed(stored(pairs, "candidates"), classes, docs))
+    for most in (NEIGHBOURS, None):
+        more = stored(unmet(crowded, classes, joined, most), "unmet")
+        if more.isEmpty():
+            break
+        known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = components(known.unionByName(confirmed(more, classes, docs)))
     joined = joined.join(classes.select("node", "first"), "node")
     smallest = joined.groupBy("component").agg(F.min("first").alias("smallest"))
     moved = joined.join(smallest, "component").select("node", "smallest")

@@ -205,3 +205,23 @@ def test_crowded_regions_keep_components(docs, monkeypatch):
     for name, value in (("REGION", 2), ("PART_ROWS", 4), ("GROUP_LINKS", 5)):
         monkeypatch.setattr(near_copies, name, value)
     assert table_of(near_copies.near_duplicates(docs)) == before
+
+
+def test_copies_linked_by_their_original_only(spark, monkeypatch):
+    """Each copy is near its original, but copies aren't near each other; without the original they stay alone."""
+    rng = np.random.default_rng(3)
+
+    def copies(name: str, n: int) -> list[str]:
+        base, out = [f"{name}{k}" for k in range(400)], []
+        for c in range(n):
+            words = list(base)
+            for place in rng.choice(np.arange(1, 399, 2), 19, replace=False):
+                words[place] = f"{name}x{c}y{place}"
+            out.append(" ".join(words))
+        return [*out, " ".join(base)]
+
+    texts = copies("a", 150) + copies("b", 60)[:-1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(near_copies, "BLOCK", 32, raising=False)
+    found = {r.doc_id: r.component_id for r in near_copies.near_duplicates(docs).collect()}
+    assert found == {k: 0 if k <= 150 else k for k in range(len(texts))}
