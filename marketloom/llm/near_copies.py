@@ -8,7 +8,8 @@ with 3e-6. A region that stays large at full depth is dealt into parts, and its
 
 Neighbours alone can miss a link in a crowded region, so these are gone through again once the links are known. There a
 class outside its region's largest component is compared, in blocks and by equal minimum hashes, with all classes of
-other components. What could be a link is confirmed like the rest: the best ones first, then all that remain.
+other components. Classes that could have a link bring their whole sets to a second comparison of the same blocks, which
+returns links between components and no other pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ BLOCK = 4096
 COMPARED = 8192
 """Rows of small comparisons that are done together, about."""
 
+SET_BYTES = 32 << 20
+"""Shingle sets on either side of one comparison by whole sets."""
+
 LEAST_EQUAL = 127
 """Two sets of similarity 0.8 have fewer equal hashes of 192 with a probability of about 3e-6."""
 
@@ -133,25 +137,57 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, crowded
 
 
-def _unmet(rows: pd.DataFrame, most: int | None) -> Iterator[tuple]:
-    """Of one comparison, the pairs of an asker and a member that may be links: each asker's ``most`` alike, or all."""
-    asks, node, n = rows["asks"].to_numpy(), rows["node"].to_numpy(), rows["n"].to_numpy()
+def _possible(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one comparison, the askers and members whose sketches agree enough for a link between two components."""
+    asks, n = rows["asks"].to_numpy(), rows["n"].to_numpy()
     component = pd.factorize(rows["component"])[0]
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-    members = np.flatnonzero(~asks)
+    members, needed = np.flatnonzero(~asks), np.zeros(len(rows), bool)
     by_hash = np.ascontiguousarray(sketch[members].T)
     for k in np.flatnonzero(asks):
         equal = (by_hash == sketch[k][:, None]).sum(axis=0, dtype=np.uint8)
         fits = (equal >= LEAST_EQUAL) & (component[members] != component[k])
         fits &= 100 * np.minimum(n[members], n[k]) >= PERCENT * np.maximum(n[members], n[k])
-        best = np.flatnonzero(fits)
-        if most is not None and len(best) > most:
-            best = best[np.argsort(-equal[best].astype(int), kind="stable")[:most]]
-        yield from ((node[k], node[m], int(e)) for m, e in zip(members[best], equal[best]))
+        needed[members[fits]] = True
+        needed[k] = fits.any()
+    return rows[needed].drop(columns="sketch")
+
+
+def _joining(rows: pd.DataFrame) -> Iterator[tuple]:
+    """Of one comparison, links of an asker and a member that join two components, as pairs of these."""
+    names = rows["component"].to_numpy()
+    component, asks = pd.factorize(rows["component"])[0], rows["asks"].to_numpy()
+    sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+    members = np.flatnonzero(~asks)
+    root = list(range(len(rows)))
 
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
 
-def unmet(crowded: DataFrame, classes: DataFrame, joined: DataFrame, most: int | None) -> DataFrame:
-    """Pairs ``a < b`` of crowded regions that may be links between different components, with ``votes`` (equal hashes)."""
+    if not len(members):
+        return
+    sizes = np.array([len(sets[m]) for m in members])
+    shingles, owner = np.concatenate([sets[m] for m in members]), np.repeat(np.arange(len(members)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    owner = owner[order]
+    values, starts, times = np.unique(shingles[order], return_index=True, return_counts=True)
+    for k in np.flatnonzero(asks):
+        at = np.searchsorted(values, sets[k])
+        at = at[values[np.minimum(at, len(values) - 1)] == sets[k]]
+        # Places of the members that hold these shingles, each shingle's places one after another.
+        shift = np.repeat(starts[at] - (np.cumsum(times[at]) - times[at]), times[at])
+        common = np.bincount(owner[shift + np.arange(len(shift))], minlength=len(members))
+        for m in members[100 * common >= PERCENT * (sizes + len(sets[k]) - common)]:
+            one, other = find(component[k]), find(component[m])
+            if one != other:
+                root[one] = other
+                yield names[k], names[m]
+
+
+def joining(crowded: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of components that a link within a crowded region joins: enough of them to connect all such."""
     of = crowded.join(joined, "node", "left").select("node", "region", F.coalesce("component", "node").alias("component"))
     sizes = of.groupBy("region", "component").agg(F.count("*").alias("n"))
     mixed = stored(sizes.groupBy("region").agg(
@@ -177,15 +213,48 @@ def unmet(crowded: DataFrame, classes: DataFrame, joined: DataFrame, most: int |
     askers = rows.where("component <> main").select(
         *columns, F.lit(True).alias("asks"), own("askers").alias("asker"), each("blocks").alias("block")
     )
+    comparison = ["region", "block", "asker"]
 
-    def compare(compared: pd.DataFrame) -> pd.DataFrame:
-        one_by_one = compared.groupby(["region", "block", "asker"])
-        return pd.DataFrame([pair for _, rows in one_by_one for pair in _unmet(rows, most)], columns=["a", "b", "votes"])
+    def possible(compared: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([_possible(rows) for _, rows in compared.groupby(comparison)])
 
     # Many regions are small: about COMPARED rows make one group.
-    group = F.pmod(F.xxhash64("region", "block", "asker"), F.lit(total // COMPARED + 1))
-    pairs = members.unionByName(askers).groupBy(group).applyInPandas(compare, "a binary, b binary, votes long")
-    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("votes").alias("votes"))
+    group = F.pmod(F.xxhash64(*comparison), F.lit(total // COMPARED + 1))
+    found = stored(members.unionByName(askers).select(*comparison, "node", "component", "n", "asks", "sketch").groupBy(group).applyInPandas(
+        possible, "region long, block long, asker long, node binary, component binary, n long, asks boolean"
+    ), "unmet")
+
+    # The same comparisons by whole sets, dealt anew where these are large.
+    space = lambda asks: F.ceil(F.sum(F.when(F.col("asks") == asks, 8 * F.col("n"))) / SET_BYTES)
+    parts = found.groupBy(*comparison).agg(space(False).alias("blocks"), space(True).alias("askers"))
+    dealt = found.join(parts, comparison)
+    columns = ["node", "component", "n", "asks", *comparison]
+    dealt = dealt.where("not asks").select(*columns, own("blocks").alias("part"), each("askers").alias("other")).unionByName(
+        dealt.where("asks").select(*columns, own("askers").alias("other"), each("blocks").alias("part"))
+    )
+    dealt = stored(dealt, "compared")
+    groups = 4 * ((dealt.agg(F.sum("n")).first()[0] or 0) * 8 // SET_BYTES) + 8
+    needed = stored(dealt.select("node").distinct().join(classes.select("node", "first.doc_id", "first.text_hash"), "node"), "needed")
+
+    @F.pandas_udf("binary")
+    def shingle_bytes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: shingle_set(t).tobytes())
+
+    sets = texts_of(needed, docs).select("node", shingle_bytes("text").alias("shingles"))
+    comparison += ["part", "other"]
+
+    def links(compared: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([p for _, rows in compared.groupby(comparison) for p in _joining(rows)], columns=["a", "b"])
+
+    group = F.pmod(F.xxhash64(*comparison), F.lit(groups))
+    return dealt.join(sets, "node").groupBy(group).applyInPandas(links, "a binary, b binary")
+
+
+def texts_of(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``needed`` (with ``doc_id, text_hash``) with the ``text`` of these documents, once for each row that has both."""
+    return docs.select(F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64("text").alias("_text_hash"), "text").join(
+        needed, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")),
+    ).drop("_doc_id", "_text_hash")
 
 
 def _confirm(key: tuple, pairs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
@@ -233,10 +302,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     needed = dealt.select("group", F.col("a").alias("node")).unionByName(dealt.select("group", F.col("b").alias("node"))).distinct()
     # Stored, so that Spark knows its size and need not shuffle all texts for few.
     needed = stored(needed.join(classes.select("node", "first.doc_id", "first.text_hash"), "node"), "needed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(
-        needed.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"}),
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")),
-    ).select(F.col("group").alias("at"), "node", "text")
+    texts = texts_of(needed, docs).select(F.col("group").alias("at"), "node", "text")
     return dealt.groupBy("group").cogroup(texts.groupBy("at")).applyInPandas(_confirm, "a binary, b binary")
 
 
@@ -251,16 +317,13 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
     pairs, crowded = candidates(classes)
     joined = components(confirmed(stored(pairs, "candidates"), classes, docs))
-    for most in (NEIGHBOURS, None):
-        more = stored(unmet(crowded, classes, joined, most), "unmet")
-        if more.isEmpty():
-            break
-        known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        joined = components(known.unionByName(confirmed(more, classes, docs)))
-    joined = joined.join(classes.select("node", "first"), "node")
-    smallest = joined.groupBy("component").agg(F.min("first").alias("smallest"))
-    moved = joined.join(smallest, "component").select("node", "smallest")
-    of_class = classes.select("node", "first").join(moved, "node", "left").select("node", F.coalesce("smallest", "first").alias("first"))
+    more = components(joining(crowded, classes, joined, docs)).toDF("component", "_component")
+    of_class = classes.select("node", "first").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_class = stored(of_class.join(more, "component", "left").select(
+        "node", "first", F.coalesce("_component", "component").alias("component")
+    ), "components")
+    smallest = of_class.groupBy("component").agg(F.min("first").alias("smallest"))
+    of_class = of_class.join(smallest, "component").select("node", F.col("smallest").alias("first"))
     return rows.join(of_class, "node", "left").select(
         "doc_id", "text_hash", "n_shingles", F.coalesce("first", first_document()).alias("first")
     )
