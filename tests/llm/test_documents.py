@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from marketloom.llm import language, mixing, near_copies, repeats, sharding, token_files
@@ -225,3 +226,31 @@ def test_copies_linked_by_their_original_only(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "BLOCK", 32, raising=False)
     found = {r.doc_id: r.component_id for r in near_copies.near_duplicates(docs).collect()}
     assert found == {k: 0 if k <= 150 else k for k in range(len(texts))}
+
+
+@pytest.mark.parametrize("noise", [2, 12, 40])
+def test_comparison_by_whole_sets_joins_what_links_join(noise):
+    rng = np.random.default_rng(noise)
+    base = rng.integers(0, 1 << 63, 100, np.uint64)
+    sets = [
+        np.unique(np.concatenate([base[noise // 2:], rng.integers(0, 1 << 63, rng.integers(1, noise + 1), np.uint64)])) for _ in range(40)
+    ] + [rng.integers(0, 1 << 63, 7, np.uint64)]
+    names = [bytes([k // 2]) for k in range(len(sets))]  # two sets to a component
+    entries = [(names[k], asks, sets[k].tobytes()) for k in range(len(sets)) for asks in (False, True)]
+    rows_ = pd.DataFrame(entries, columns=["component", "asks", "shingles"])
+
+    def merged(pairs):
+        group = {n: {n} for n in names}
+        for a, b in pairs:
+            both = group[a] | group[b]
+            for n in both:
+                group[n] = both
+        return {frozenset(g) for g in group.values()}
+
+    links = [
+        (names[i], names[k]) for i in range(len(sets)) for k in range(i)
+        if 100 * len(c := set(sets[i]) & set(sets[k])) >= 80 * (len(sets[i]) + len(sets[k]) - len(c))
+    ]
+    found = list(near_copies._joining(rows_))
+    assert merged(found) == merged(links)
+    assert len(found) == len(set(names)) - len(merged(links))
