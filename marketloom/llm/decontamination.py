@@ -3,8 +3,9 @@
 The index holds units, stretches of at most ``UNIT_WORDS`` words of an item, with BM25 impacts divided by the unit's own
 score: a passage that holds a whole unit scores 1. Units lie in blocks; a block keeps the largest impact per term.
 As in block-max WAND a passage first gets the sum of these bounds per block, and only blocks whose bound reaches the
-threshold are scored, each unit of them, so every unit above the threshold is found. Hits are verified by the overlap of
-five-word shingles with the item's question and with its answer.
+threshold are scored, each unit of them, so every unit above the threshold is found. Hits are verified by the overlap
+with the item's question and with its answer, or with the whole of an item that has no question mark: the share of
+five-word shingles in the document or of words in order in one stretch of it, whichever is larger.
 """
 
 from __future__ import annotations
@@ -42,10 +43,10 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def question_and_answer(text: str, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-    """Up to the first question mark and the rest; without one, or with nothing behind it, two halves."""
+    """Up to the first question mark and the rest; without one, or with nothing behind it, all words and none."""
     question, _, answer = text.partition("?")
     parts = words_of(question), words_of(answer)
-    return parts if all(parts) else (words[:(len(words) + 1) // 2], words[(len(words) + 1) // 2:])
+    return parts if all(parts) else (words, [])
 
 
 def shingles(words: list[bytes]) -> set[bytes]:
@@ -55,27 +56,72 @@ def shingles(words: list[bytes]) -> set[bytes]:
     return {b" ".join(words[k:k + SHINGLE]) for k in range(len(words) - SHINGLE + 1)}
 
 
+def in_order(part: list[bytes], words: list[bytes]) -> int:
+    """Most words of ``part`` that one stretch of ``words``, a quarter longer than ``part``, holds in order.
+
+    Stretches begin every eighth of the part's length and are that much longer, so none is missed in between. Those with
+    the most words that ``part`` has come first, until no other can hold more than what was found.
+    """
+    size = len(part)
+    step = max(1, size // 8)
+    width = size + max(2, size // 4) + step
+    masks: dict[bytes, int] = {}
+    for k, w in enumerate(part):
+        masks[w] = masks.get(w, 0) | 1 << k
+    shared = np.fromiter((w in masks for w in words), bool, len(words))
+    before = np.concatenate([[0], np.cumsum(shared)])
+    starts = np.arange(0, max(1, len(words)), step)
+    most = before[np.minimum(starts + width, len(words))] - before[starts]
+    full, best = (1 << size) - 1, 0
+    for at in np.argsort(-most, kind="stable").tolist():
+        if most[at] <= best or best == size:
+            break
+        start, row = int(starts[at]), full  # a zero bit per word of the longest common subsequence
+        for w in words[start:start + width]:
+            if mask := masks.get(w):
+                met = row & mask
+                row = (row + met) | (row - met)
+        best = max(best, size - (row & full).bit_count())
+    return best
+
+
 @dataclass
 class Item:
+    """An item without question and answer has all its words in ``question`` and none in ``answer``."""
+
     item_id: int
     words: list[bytes]
     question: list[bytes]
     answer: list[bytes]
 
     def overlaps(self, words: list[bytes]) -> tuple[float, float]:
-        """Shares of the question's and the answer's shingles among those of ``words``."""
+        """Shares of the question and of the answer that ``words`` hold; twice that of the whole item if it has no answer."""
         by_size: dict[int, set[bytes]] = {}
 
         def share(part: list[bytes]) -> float:
-            size = min(SHINGLE, len(part))
-            if not size:
+            if not part:
                 return 1.0
+            size = min(SHINGLE, len(part))
             if size not in by_size:
                 by_size[size] = {b" ".join(words[k:k + size]) for k in range(len(words) - size + 1)}
             own = shingles(part)
-            return len(own & by_size[size]) / len(own)
-
-        return share(self.question), share(self.answer)
+            shingled = len(own & by_size[size]) / len(own)
+            return shingled if shingled == 1 else max(shingled, in_order(part, words) / len(part))
+
+        if not self.answer:
+            half = (len(self.words) + 1) // 2
+            whole = share(self.words)
+            if whole < 1:  # the halves may stand apart
+                whole = max(whole, min(share(self.words[:half]), share(self.words[half:])))
+            return whole, whole
+        question, answer = share(self.question), share(self.answer)
+        if min(question, answer) < 1 and min(len(self.question), len(self.answer)) < SHINGLE:
+            # One word is more than a fifth of a short part: it may differ if the rest of the item is there.
+            if in_order(self.words, words) >= len(self.words) - 1:
+                rest = (len(self.words) - 1) / len(self.words)
+                question = max(question, rest) if question > 0 else question
+                answer = max(answer, rest) if answer > 0 else answer
+        return question, answer
 
 
 class Index:
@@ -205,10 +251,12 @@ def with_hits(
 ) -> DataFrame:
     """``docs``, all columns, plus array ``name`` of the benchmark items that a document's passages contain.
 
-    An item counts if a passage scores at least ``threshold`` of a unit's own BM25 score and at least ``overlap`` of the
-    shingles both of its question and of its answer occur in the document. Null and empty texts, and any text beside an
-    empty benchmark, have no hits; null or empty items are never hit. Repeated rows are judged alike. Documents are
-    read once per index and never shuffled.
+    An item counts if a passage scores at least ``threshold`` of a unit's own BM25 score and the document holds at least
+    ``overlap`` both of its question and of its answer, or of the whole item if it has no question mark with words on
+    both sides: of the five-word shingles, or of the words in order within one stretch a quarter longer. Of questions
+    and answers under five words one word may differ if all other words of the item are there in order; an answer of
+    one word must be there. Null and empty texts, and any text beside an empty benchmark, have no hits; null or empty
+    items are never hit. Repeated rows are judged alike. Documents are read once per index and never shuffled.
     """
     if name in docs.columns:
         raise ValueError(f"documents have a column {name} already")

@@ -94,6 +94,29 @@ def test_leaks(spark):
     assert decontamination.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_edited_leaks(spark):
+    """A word replaced, left out, put in or moved does not hide a passage; a question or half an item alone is no leak."""
+    statement, short = prose(510, "en", 38), prose(511, "de", 15)
+    asked, brief = "Which tall tree stands by the old mill? The green oak beside the river gate", "Who built the small stone bridge over the river? Ada Stone"
+    items = {1: statement, 2: short, 3: asked, 4: brief}
+    data = []
+    for i, text in items.items():
+        words = text.split()
+        for k in range(len(words)):
+            cut, mark = words[:k] + words[k + 1:], "?" * words[k].endswith("?")
+            for n, edited in enumerate((
+                words[:k] + ["zebra" + mark] + words[k + 1:], words[:k] + ["zebra", *words[k:]], cut, [*cut[:k + 1], words[k], *cut[k + 1:]],
+            )):
+                data.append((i * 10_000 + k * 10 + n, f"{prose(k, 'de', 70)} {' '.join(edited)} {prose(k + 50, 'en', 70)}"))
+    half = len(statement.split()) // 2
+    free = [statement.split()[:half], short.split()[:8], asked.split("?")[0].split(), brief.split("?")[0].split(), list(reversed(statement.split()))]
+    data += [(k, f"{prose(620, 'de', 30)} {' '.join(t)} zebra zebra zebra zebra zebra zebra zebra {prose(621, 'de', 30)}") for k, t in enumerate(free)]
+    found = decontamination.contaminated(
+        spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string"),
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, d // 10_000) for d, _ in data if d >= 10_000}
+
+
 def test_leaks_over_several_indexes(spark, monkeypatch):
     items = [(k, prose(700 + k, "en", 30)) for k in range(20)]
     docs = spark.createDataFrame([(k, prose(k, "en", 50) + " " + t) for k, t in items], "doc_id long, text string")
