@@ -414,6 +414,44 @@ def _clean_files(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def _canonical(name: str, kind: str) -> F.Column:
+    """A value as text that any engine writes alike; decimals as their unscaled number."""
+    column = F.col(name)
+    if kind.startswith("decimal"):
+        scale = int(kind.rstrip(")").split(",")[1])
+        return (column * 10**scale).cast("decimal(38,0)").cast("string")
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS") if kind == "timestamp_ntz" else column.cast("string")
+
+
+def _digest(text: F.Column) -> F.Column:
+    """Sum of 28 bits of each value's md5: the same in any order of rows."""
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long")), F.lit(0))
+
+
+def _column_digests(shop: Shop) -> DataFrame:
+    """Per table and column the values there and their digest; column ``*`` is the digest of whole rows."""
+    result = None
+    for table in TABLES:
+        texts = {f.name: _canonical(f.name, f.dataType.simpleString()) for f in CLEAN[table]}
+        rows = F.concat_ws("|", *[F.coalesce(t, F.lit("<null>")) for t in texts.values()])
+        lines = [
+            F.struct(F.lit(c).alias("column_name"), F.count(t).alias("values_there"), _digest(t).alias("digest"))
+            for c, t in {**texts, "*": rows}.items()
+        ]
+        line = shop.table(table).agg(F.array(*lines).alias("lines")).select(F.lit(table).alias("table_name"), F.inline("lines"))
+        result = line if result is None else result.unionByName(line)
+    return result
+
+
+def _clean_file_columns(spark: SparkSession, folder: str) -> DataFrame:
+    place = _clean_folder(spark, folder)
+    return _column_digests(Shop(spark, lambda t: files.read_clean_csv(spark, f"{place}/{t}", t)))
+
+
+def _loaded_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return _column_digests(files.load_tables(spark, _clean_folder(spark, folder), new_folder(spark, "loaded")))
+
+
 def _loaded(spark: SparkSession, folder: str) -> DataFrame:
     return files.row_counts(files.load_tables(spark, _clean_folder(spark, folder), new_folder(spark, "loaded")))
 
@@ -484,7 +522,8 @@ _VIEW_COUNTS = " UNION ALL ".join(
 )
 _add(
     {
-        "S1": _raw_files, "S2": _clean_files, "S3": _loaded, "S4": _on_shop(files.row_counts), "S5": _result_file,
+        "S1": _raw_files, "S2": _clean_files, "S2_columns": _clean_file_columns, "S3": _loaded,
+        "S3_columns": _loaded_columns, "S4": _on_shop(files.row_counts), "S5": _result_file,
         "S6": _view_names, "S7": _view_samples, "S8": _on_shop(_summary), "P6": _pack,
     },
     {

@@ -151,3 +151,51 @@ SOURCES: dict[str, str] = {
     "S3": _union([f"SELECT '{t}' AS table_name, count(*) AS total_rows FROM {c}" for t, c in _MAPPED.items()]),
 }
 SOURCES["S4"] = SOURCES["S3"]
+
+# Per table its columns in order: the mapped expression, decimals as unscaled numbers.
+_VALUES = {
+    "customers": dict(
+        customer_id="customer_id", customer_name="customer_name", signup_date="signup_date", country="country", city="city",
+        device="device", acquisition_channel="channel", customer_segment="segment"),
+    "products": dict(
+        product_id="product_id", product_name="product_name", category="category", subcategory="subcategory", brand="brand",
+        cost="cost", selling_price="price", cost_is_estimated="estimated", price_is_invalid="invalid"),
+    "orders": dict(
+        order_id="order_id", customer_id="customer_id", order_date="stamp", order_status="status",
+        payment_method="payment_method", discount="discount * 100", shipping_cost="shipping * 100"),
+    "order_items": dict(
+        order_item_id="item_id", order_id="order_id", product_id="product_id", quantity="qty", unit_price="unit",
+        line_total="line"),
+    "payments": dict(
+        payment_id="payment_id", order_id="order_id", amount="amount", payment_status="'Success'", payment_date="stamp"),
+    "returns": dict(
+        return_id="return_id", order_id="order_id", customer_id="customer_id", product_id="product_id", return_date="day",
+        return_reason="reason", refund_amount="refund"),
+    "marketing_campaigns": dict(
+        date="day", channel="channel", campaign="campaign", spend="spend", impressions="impressions", clicks="clicks",
+        conversions="conversions"),
+    "web_events": dict(
+        event_id="event_id", customer_id="customer_id", event_timestamp="ts", event_name="name", session_id="session_id",
+        product_id="product_id"),
+    "experiments": dict(
+        experiment_id="experiment_id", customer_id="customer_id", variant="variant", experiment_date="day",
+        converted="converted", revenue="revenue * 100"),
+}
+_STAMPS = ("order_date", "payment_date", "event_timestamp")
+
+
+def _column_digests(table: str) -> str:
+    texts = {
+        c: f"strftime(CAST({x} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')" if c in _STAMPS else f"CAST({x} AS VARCHAR)"
+        for c, x in _VALUES[table].items()
+    }
+    texts["*"] = "concat_ws('|', " + ", ".join(f"coalesce({t}, '<null>')" for t in texts.values()) + ")"
+    return _union([
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count({t}) AS values_there, "
+        f"CAST(coalesce(sum(CAST('0x' || substr(md5({t}), 1, 7) AS BIGINT)), 0) AS BIGINT) AS digest FROM {_MAPPED[table]}"
+        for c, t in texts.items()
+    ])
+
+
+SOURCES["S2_columns"] = _union([_column_digests(t) for t in _VALUES])
+SOURCES["S3_columns"] = SOURCES["S2_columns"]

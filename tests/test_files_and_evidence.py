@@ -5,20 +5,41 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql
 from marketloom.operators import evidence
 from marketloom.operators.cleaning import Cleaning
 from marketloom.operators.ranking import written
 from marketloom.params import Params
-from marketloom.plans import catalogue, jobs
+from marketloom.plans import catalogue, jobs, registry
 from marketloom.schemas import CLEAN, TABLES
 from marketloom.shop import Shop
 from marketloom.sources import files
 from marketloom.sources.rawdata import RawTables
 from marketloom.sources.testdata import star_shop
+from tools.compare import compare, database
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+def test_clean_files_show_a_change_in_any_column(spark):
+    db = database(FOLDER)
+    assert compare(spark, db, "S2_columns", FOLDER, oracle_sql()["S2_columns"]) == f"ok ({sum(len(CLEAN[t]) + 1 for t in TABLES)})"
+    shop = star_shop(spark, FOLDER).keeping(written)
+
+    def digests(table: str, column: str, change) -> set:
+        def read(name):
+            df = shop.table(name)
+            return df.withColumn(column, change(F.col(column))) if name == table else df.limit(0)
+
+        found = registry._column_digests(Shop(spark, read)).where(F.col("table_name") == table).collect()
+        return {tuple(r) for r in found}
+
+    for table, column in (("order_items", "unit_price"), ("products", "brand")):
+        same, other = digests(table, column, lambda c: c), digests(table, column, lambda c: F.when(c != F.lit("0"), c))
+        lost = digests(table, column, lambda c: F.lit(None).cast(CLEAN[table][column].dataType))
+        assert {r[1] for r in same - lost} == {column, "*"} and (same == other) == (column == "brand")
+
+
 def test_raw_csv_keeps_order_and_nulls(spark, tmp_path):
     text = "customer_id,customer_name,signup_date,country,city,device,acquisition_channel,customer_segment\n"
     text += 'C1,"a, ""b""",2024-01-01,NULL,nan,N/A,x,"two words"\n' + "C1,late,2024-01-01,a,b,c,d,e\n"
