@@ -33,8 +33,9 @@ FEATURES = (
     "keyword_before", "assigned", "quoted", "words_around",
 )
 TRAIN_FINDINGS = 20_000
-DICTIONARY_WORDS = 3_000
-DICTIONARY_DOCUMENTS = 5_000
+DICTIONARY_SHARE = 0.005
+"""Words in at least this share of the documents: at most 200 times as many as a document has distinct words on average."""
+
 TREES, DEPTH = 30, 8
 SCHEMA = "doc_id long, begin long, length int, kind string, value string, features array<double>, seed double"
 
@@ -94,12 +95,13 @@ def found(text: str) -> list[tuple[int, str, bool]]:
 
 
 def dictionary_of(docs: DataFrame) -> frozenset[str]:
-    """The most frequent words of three to twelve letters in a bounded sample of documents."""
-    words = sampled(docs.where("text is not null"), F.col("doc_id"), DICTIONARY_DOCUMENTS).select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\b(\p{L}{3,12})\b"))).alias("word")
+    """The words of three to twelve letters in at least ``DICTIONARY_SHARE`` of all documents, counted on the map side."""
+    texts = docs.where("text is not null")
+    words = texts.select(
+        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\b(\p{L}{3,12})\b")))).alias("word")
     )
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS)
-    return frozenset(r[0] for r in top.collect())
+    common = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= DICTIONARY_SHARE * texts.count())
+    return frozenset(r[0] for r in common.select("word").collect())
 
 
 def candidates(docs: DataFrame) -> DataFrame:

@@ -77,6 +77,18 @@ def test_secrets(spark):
     assert secrets_scan.secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_dictionary_counts_all_documents(spark):
+    """Words are kept by their share of the documents, however many documents and words there are."""
+    letters = "abcdefghijklmnopqrst"
+    words = [f"w{a}{b}{c}" for a in letters for b in letters for c in letters[:10]]
+    texts = [" ".join(words[k % 10::10]) + (" minor" if k % 100 == 0 else "") + (" single" if k == 7 else "") for k in range(1_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets_scan.dictionary_of(docs)
+    assert found == {*words, "minor"}
+    copies = docs.crossJoin(spark.range(8).withColumnRenamed("id", "copy")).selectExpr("doc_id * 8 + copy AS doc_id", "text")
+    assert secrets_scan.dictionary_of(copies) == found
+
+
 def test_leaks(spark):
     items = [(1, "What is the old name of the river by the tall stone house? It is the green window under trees"), (2, None), (3, ""),
              (4, prose(500, "en", 40)), (5, prose(501, "de", 150))]
