@@ -1,7 +1,8 @@
 """URL filters: host and path rules, and boosted trees on lexical features where no rule fits.
 
 Everything is SQL functions and Spark's own tree learner; nothing runs in Python on the executors. Urls that a rule
-decides are the labelled ones: the trees learn from a bounded sample of them and judge the rest.
+decides are the labelled ones: suffix statistics count all of them, the trees learn from a bounded sample and judge the
+rest.
 """
 
 from __future__ import annotations
@@ -127,21 +128,19 @@ def judge(
     """Per page: ``page_id, host, path, rule, verdict``.
 
     The verdict is the longest fitting rule's, else that of trees trained on at most about ``train_rows`` urls that rules
-    decide (chosen by a hash of the url). Null urls, urls without ``://`` and empty ones have empty host and path, no
+    decide (chosen by a hash of the page and url); the statistics of suffixes and segments are those of all such urls. Null urls, urls without ``://`` and empty ones have empty host and path, no
     rule, and are judged by the trees like the rest. Repeated rows are judged alike. Without labelled urls of both
     verdicts nothing can be learned: the rest gets the only labelled verdict, or ``allow``. Other columns are ignored.
     """
     lexical = with_lexical(with_rule(with_parts(pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"))), rules))
-    labelled = sampled(lexical.where("rule is not null"), F.col("url"), train_rows).withColumn(
-        "label", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0)
-    )
+    labelled = lexical.where("rule is not null").withColumn("label", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0))
     seen = labelled.agg(F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[0] == seen[1]:
         learned = F.lit("block" if seen[0] == 1.0 else "allow")
         judged = lexical.withColumn("verdict", F.coalesce("rule_verdict", learned))
     else:
-        labelled = labelled.persist()
-        model = train(with_suffix_statistics(labelled, labelled))
+        rows = sampled(labelled, F.struct("page_id", "url"), train_rows)
+        model = train(with_suffix_statistics(rows, labelled).persist())
         rest = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_suffix_statistics(lexical, labelled))
         judged = model.transform(rest).withColumn(
             "verdict", F.coalesce("rule_verdict", F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
