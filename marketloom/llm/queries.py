@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from marketloom.llm import (
-    decontamination, language, mixing, near_copies, nearest, repeats, secrets_scan, sharding, token_files, url_filter,
+    archive, decontamination, language, mixing, near_copies, nearest, oracles, phrases, prefix_trie, repeats, secrets_scan, sharding,
+    token_files, url_filter,
 )
 from marketloom.llm.common import table
 
@@ -19,6 +20,10 @@ QUERIES = {
     "op9_leaks": lambda spark, folder: decontamination.contaminated(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")),
     "op10_urls": lambda spark, folder: url_filter.judge(table(spark, folder, "pages")),
+    "op11_phrases": lambda spark, folder: phrases.collocations(table(spark, folder, "documents")),
+    "op12_trie": lambda spark, folder: prefix_trie.trie(table(spark, folder, "conversations")),
+    "op13_warc": lambda spark, folder: archive.archived(table(spark, folder, "pages")),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_phrases": oracles.PHRASES, "op12_trie": oracles.TRIE, "op13_warc": oracles.ARCHIVE}
+"""The other queries rest on models, sketches, schedules and files that SQL has no form for: ``tests/llm`` has their checks."""
