@@ -228,7 +228,7 @@ class Index:
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes of at most about ``INDEX_BYTES`` of item text each; term statistics are those of all items."""
-    items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), "text")
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
     size, total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     parts = max(1, -(-size // INDEX_BYTES))
     dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
@@ -240,7 +240,8 @@ def indexes(benchmark: DataFrame) -> Iterator[Index]:
     terms = dealt.select("part", F.explode(distinct_words("text")).alias("term"))
     counts = terms.groupBy("term").agg(F.count("*").alias("n"))
     for part in range(parts):
-        mine = sorted((r[0], r[1]) for r in dealt.where(F.col("part") == part).select("item_id", "text").collect())
+        mine = dealt.where(F.col("part") == part).select("item_id", "text").collect()
+        mine = sorted(map(tuple, mine), key=lambda item: (item[0] is None, item[0] or 0, item[1]))
         own = counts if parts == 1 else counts.join(terms.where(F.col("part") == part), "term", "left_semi")
         frequencies = {bytes(r[0]): r[1] for r in own.collect()}
         yield Index(mine, frequencies, total, UNIT_WORDS / 2)
@@ -255,8 +256,8 @@ def with_hits(
     ``overlap`` both of its question and of its answer, or of the whole item if it has no question mark with words on
     both sides: of the five-word shingles, or of the words in order within one stretch a quarter longer. Of questions
     and answers under five words one word may differ if all other words of the item are there in order; an answer of
-    one word must be there. Null and empty texts, and any text beside an empty benchmark, have no hits; null or empty
-    items are never hit. Repeated rows are judged alike. Documents are read once per index and never shuffled.
+    one word must be there. Null and empty texts, and any text beside an empty benchmark, have no hits; items without
+    text are never hit, items without id are hit like others. Repeated rows are judged alike. Documents are read once per index and never shuffled.
     """
     if name in docs.columns:
         raise ValueError(f"documents have a column {name} already")
@@ -284,5 +285,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without hits, with their own columns."""
-    return with_hits(docs, benchmark, name="_hits").where(F.size("_hits") == 0).select(*docs.columns)
+    """The documents without hits, with their own columns, whatever these are called.
+
+    Null and empty texts stay, and all documents beside an empty benchmark. Repeated rows are judged alike, texts of any
+    length whole; an empty table stays empty.
+    """
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return with_hits(rows, benchmark).where(F.size("hits") == 0).select("row.*")

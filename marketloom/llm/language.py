@@ -137,7 +137,11 @@ def identified(docs: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> DataF
 
 
 def accepted(docs: DataFrame, least_score: float = 0.5, train_documents: int = TRAIN_DOCUMENTS) -> DataFrame:
-    """The documents, with their own columns, whose language is determined with at least this probability."""
+    """The documents, with their own columns, whose language is determined with at least this probability.
+
+    Null texts and texts without a letter go, and all documents if none has a language to learn from. Repeated rows are
+    judged alike, texts of any length whole; an empty table stays empty.
+    """
     model = train(docs, train_documents)
-    judged = predicted(docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text")), model, "_text")
-    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select("_row.*")
+    judged = predicted(docs.select(F.struct("*").alias("row"), "text"), model)
+    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select("row.*")

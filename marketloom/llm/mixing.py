@@ -144,24 +144,27 @@ def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: each one as often as the mix takes more than half of it.
 
-    Only the document at the end of a source's share can be taken in part. Documents without words are never taken.
-    Rows that agree in id, source and size share their copies evenly. Texts are shuffled once.
+    Only the document at the end of a source's share can be taken in part, so a source misses its target by half a
+    document at most. Null and empty texts and texts without words are never taken; a null source is one of its own.
+    Rows that agree in id, source and size are dealt their copies one by one. Texts are shuffled once and kept whole; an
+    empty table stays empty. Columns of any name are kept as they are.
     """
-    names = docs.columns
-    stream, sources = streamed(docs.select("doc_id", "source", words_in("text").alias("size")), weights)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", words_in("text").alias("size"))
+    stream, sources = streamed(rows.select("doc_id", "source", "size"), weights)
     turns = pieces(stream, sources, block_words).groupBy("src", "row", "doc_id", "size", "turn").agg(
         F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))).alias("words")
     )
     # A document id may stand in several rows: one line per id, source and size.
     copies = turns.groupBy("src", "doc_id", "size").agg(
-        F.count(F.when(F.col("words") * 2 > F.col("size"), 1)).alias("all"), F.countDistinct("row").alias("rows")
-    )
-    copies = copies.withColumn("_copies", F.round(F.col("all") / F.col("rows")).cast("long")).where("_copies > 0")
-    copies = copies.join(sources.select("src", F.col("source").alias("_source")), "src").select(
-        F.col("doc_id").alias("_doc_id"), "_source", F.col("size").alias("_size"), "_copies"
+        F.count(F.when(F.col("words") * 2 > F.col("size"), 1)).alias("copies"), F.countDistinct("row").alias("rows")
+    ).where("copies > 0")
+    copies = copies.join(sources.select("src", F.col("source").alias("of_source")), "src").select(
+        F.col("doc_id").alias("of_id"), "of_source", F.col("size").alias("of_size"), "copies", "rows"
     )
-    return docs.join(
-        copies,
-        docs["doc_id"].eqNullSafe(F.col("_doc_id")) & docs["source"].eqNullSafe(F.col("_source"))
-        & (words_in(docs["text"]) == F.col("_size")),
-    ).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*names)
+    met = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size")))
+    nth = F.row_number().over(Window.partitionBy("of_id", "of_source", "of_size").orderBy(F.lit(0)))
+    repeated = met.where("rows > 1").withColumn("nth", nth).withColumn(
+        "copies", F.expr("copies div rows") + F.when(F.col("nth") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+    ).where("copies > 0")
+    taken = met.where("rows = 1").select("row", "copies").unionByName(repeated.select("row", "copies"))
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

@@ -343,17 +343,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component, with its own columns; documents without words all stay."""
-    groups = grouped(docs)
-    keep = groups.where("n_shingles > 0").select(
-        F.col("first.doc_id").alias("_doc_id"), F.col("first.text_hash").alias("_text_hash")
+    """One document of each component, the one with the smallest id, with its own columns.
+
+    Null and empty texts and texts without words have no copies: all of them stay. Null ids count as largest. Of rows that
+    repeat id and text one stays. Texts of any length are compared whole; an empty table stays empty. Columns of any
+    name are kept as they are.
+    """
+    keep = grouped(docs).where("n_shingles > 0").select(
+        F.col("first.doc_id").alias("keep_id"), F.col("first.text_hash").alias("keep_hash")
     ).distinct()
-    names = [F.col(c) for c in docs.columns]
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = hashed.join(
-        keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"),
+        F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)).alias("has_words"),
     )
-    once = Window.partitionBy("_doc_id", "_text_hash").orderBy(F.lit(0))
-    kept = kept.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").select(*names)
-    wordless = docs.where(F.coalesce(~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(True)))
-    return kept.unionByName(wordless)
+    once = Window.partitionBy("keep_id", "keep_hash").orderBy(F.lit(0))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("hash") == F.col("keep_hash"))).withColumn(
+        "nth", F.row_number().over(once)
+    ).where("nth = 1")
+    return kept.select("row.*").unionByName(rows.where("not has_words").select("row.*"))

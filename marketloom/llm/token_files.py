@@ -13,9 +13,11 @@ Elias-Fano list: count u32, low bits u8, bytes of lows u32, bytes of highs u32,
 from __future__ import annotations
 
 import functools
+import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +37,9 @@ SEGMENT_IDS = 1 << 20
 PART_BYTES = 128 << 20
 """Text bytes per range partition, unless the session's shuffle partitions ask for more parts."""
 
-CACHED_PIECES = 1_000_000
+CACHED_PARTS = 200_000
+"""Encoded parts that a worker keeps, twice at most: about 80 MB. What one call needs comes on top."""
+
 SAMPLE = 64
 """Every so many entries a select sample holds the position of its bit."""
 
@@ -139,50 +143,87 @@ class Segment:
 
 
 class Encoder:
-    """Encodes texts piece by piece: a piece begins at a blank before a visible character, where tokens always begin.
+    """Encodes texts by parts that a byte-level tokenizer never joins: words with the blank before them, digits, punctuation.
 
-    Pieces recur, so most come from a cache; new ones are encoded in one call, with line breaks between them.
+    Parts recur, so most come from a cache; new ones go to the tokenizer's model in one call. Where a text has other
+    characters, or other white space than one blank or line break, all from the blank before to the next blank before a
+    visible character, where tokens always begin, is encoded as it stands, as rules may reach further there. With a
+    tokenizer of another kind that holds for whole texts.
     """
 
+    LETTERS, DIGITS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.line_break = self._ids(["\n"])[0]
+        settings = json.loads(self.tokenizer.to_str())
+        kind = settings["pre_tokenizer"] or {}
+        self.by_parts = (
+            kind.get("type") == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]
+            and settings["normalizer"] is None and settings["post_processor"] is None and not settings["model"].get("dropout")
+        )
+        self.part = re.compile(f" ?[{self.LETTERS}]+| ?[{self.DIGITS}]+| ?[{self.MARKS}]+|\n")
+        self.odd = re.compile(f"[^{self.LETTERS}{self.DIGITS}{self.MARKS} \n]| (?=[ \n]|$)|\n\n")
+        self.gap = re.compile(r" (?=\S)")
+        # The model takes bytes spelled as visible characters; how, the tokenizer's own first step tells.
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = [c for c in map(chr, range(32, 256)) if c == " " or re.match(f"[{self.LETTERS}{self.DIGITS}{self.MARKS}]", c)]
+        self.spelling = {ord(c): spelled.pre_tokenize_str(c)[0][0] for c in plain}
+        self.model.pre_tokenizer = None
         self.cache: dict[str, bytes] = {}
-        self.gap, self.uneven = re.compile(r" (?=\S)"), re.compile(r" \s")
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if p and len(p.split()) == 1 and not p[-1].isspace() and p.isprintable()]
-        for k in range(0, len(plain), 20_000):
-            part = plain[k:k + 20_000]
-            ids = np.array(self._ids([" " + "\n ".join(part) + "\n"])[0], "<u4")
-            breaks = np.flatnonzero(ids == self.line_break[0]) if len(self.line_break) == 1 else ()
-            if len(breaks) == len(part):
-                data, begin = ids.tobytes(), 0
-                for piece, end in zip(part, breaks.tolist()):
-                    self.cache[piece] = data[4 * begin:4 * end]
-                    begin = end + 1
-        left = [p for p in pieces if p not in self.cache]
-        for piece, ids in zip(left, self._ids([" " + p for p in left])):
-            self.cache[piece] = np.array(ids, "<u4").tobytes()
+        self.older: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _split(self, text: str, odd_ones: set[str]) -> list[str]:
+        """The parts of a text; those that need the whole tokenizer also go into ``odd_ones``."""
+        parts, begin = [], 0
+        while odd := self.odd.search(text, begin):
+            start = odd.start()
+            while (start := text.rfind(" ", begin, start)) > begin and text[start + 1].isspace():
+                pass
+            start = max(start, begin)
+            end = self.gap.search(text, max(odd.end(), start + 1))
+            end = end.start() if end else len(text)
+            parts += self.part.findall(text, begin, start)
+            parts.append(text[start:end])
+            odd_ones.add(text[start:end])
+            begin = end
+        parts += self.part.findall(text, begin)
+        return parts
+
+    def _learn(self, parts: set[str], odd_ones: set[str]) -> None:
+        """Puts the ids of ``parts`` into the cache, which keeps about the last ``CACHED_PARTS`` to twice as many."""
+        if len(self.cache) > CACHED_PARTS:
+            self.cache, self.older = {}, self.cache
+        new = list(parts - self.cache.keys())
+        known = list(map(self.older.get, new))
+        self.cache.update((part, ids) for part, ids in zip(new, known) if ids is not None)
+        odd_ones.add("\n")
+        whole = [part for part, ids in zip(new, known) if ids is None and part in odd_ones]
+        self.cache.update(zip(whole, self._whole(whole)))
+        plain = [part for part, ids in zip(new, known) if ids is None and part not in odd_ones]
+        for k in range(0, len(plain), 50_000):
+            some = plain[k:k + 50_000]
+            words = "\n".join(some).translate(self.spelling).split("\n")
+            found = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(some)) * 4).tolist()
+            ids, start = array("I", found.ids).tobytes(), 0
+            for part, end in zip(some, ends):
+                self.cache[part] = ids[start:end]
+                start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its token ids as little-endian unsigned 32-bit integers."""
-        split = [self.gap.split(t) if self.uneven.search(t) else t.split(" ") for t in texts]
-        if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
-        seen: dict[str, None] = {}
-        for pieces in split:
-            seen.update(dict.fromkeys(pieces[1:]))
-        self._learn([p for p in seen if p not in self.cache])
-        firsts = [np.array(ids, "<u4").tobytes() for ids in self._ids([pieces[0] for pieces in split])]
-        of = self.cache.__getitem__
-        return [first + b"".join(map(of, pieces[1:])) for first, pieces in zip(firsts, split)]
+        if not self.by_parts:
+            return self._whole(texts)
+        odd_ones: set[str] = set()
+        split = [self._split(text, odd_ones) for text in texts]
+        self._learn(set().union(*split), odd_ones)
+        return [b"".join(map(self.cache.__getitem__, parts)) for parts in split]
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
