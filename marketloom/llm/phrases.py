@@ -1,6 +1,6 @@
 """Phrase collocations by Toivonen's mining: a sample proposes phrases, full passes count them and their negative border.
 
-A phrase is proposed if it is frequent in a sample of the documents at a lowered threshold. A full pass counts, exactly,
+A phrase is proposed if it is frequent in a sample of the texts' pieces at a lowered threshold. A full pass counts, exactly,
 every phrase whose two parts without the last and without the first word are proposed: the proposed phrases and their
 negative border. If a counted phrase is frequent but wasn't proposed, its extensions may be frequent too: it is added,
 and a further pass counts what that brings in, until the proposals are closed. So the sample decides how many passes
@@ -31,15 +31,15 @@ LEAST = 100
 
 TOP = 2000
 SAMPLE_SHARE = 8
-"""The sample is one document in so many."""
+"""The sample is one piece of text in so many, so that a phrase that recurs within a single document is met as well."""
 
-SAMPLE_SLACK = 0.6
+SAMPLE_SLACK = 0.4
 """The sample's threshold as a part of what it would hold of a phrase at the threshold, which leaves few phrases out."""
 
-FLUSH_WORDS = 1 << 21
+FLUSH_WORDS = 1 << 20
 """Words that a task counts at a time."""
 
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 400_000
 """Words whose numbers a task keeps from one count to the next."""
 
 SLICE = 1 << 22
@@ -49,7 +49,8 @@ LEAST_BITS, MOST_BITS = 20, 28
 """The bitmap has 2 to the power of these bits, thus at most 32 MB."""
 
 BUCKET = 15
-_BLANKS = re.compile("[\x20\x09.,;:!?\x0A-\x0D]")
+SEPARATORS = r"[.,;:!?\x0A-\x0D]"
+_BLANKS = re.compile(r"[\x20\x09.,;:!?\x0A-\x0D]")
 _NORMAL = bytes(
     0x0A if c in b".,;:!?\x0A\x0B\x0C\x0D" else 0x20 if c == 0x09 else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)
 )
@@ -172,8 +173,8 @@ class PhraseCounter:
         times[0] = 0
         if self.first:
             seen = np.flatnonzero(times)
-            yield self._rows(lang, 1, [words[k] for k in seen.tolist()], times[seen])
-            yield self._rows(lang, 0, [b""], [int(times.sum())])
+            yield self._rows(lang, [words[k] for k in seen.tolist()], times[seen])
+            yield self._rows(lang, [b""], [int(times.sum())])
         if self.proposed is None:
             return
         used = np.zeros(len(words), bool)
@@ -200,7 +201,7 @@ class PhraseCounter:
             begins = starts[at[fresh]]
             columns = [[words[w] for w in ids[begins + j].tolist()] for j in range(k)]
             if len(fresh):
-                yield self._rows(lang, k, list(map(b" ".join, zip(*columns))), times[fresh])
+                yield self._rows(lang, list(map(b" ".join, zip(*columns))), times[fresh])
             code_hash = extended(code_hash[code[starts[at]]], hashes[last[at]])
             in_wanted = self.proposed.holds(code_hash)
             in_done = old & self.counted.holds(code_hash) if self.counted is not None else old
@@ -209,10 +210,9 @@ class PhraseCounter:
             code = next_code
 
     @staticmethod
-    def _rows(lang: str, k: int, phrases: list[bytes], times) -> pa.RecordBatch:
-        n = len(phrases)
+    def _rows(lang: str, phrases: list[bytes], times) -> pa.RecordBatch:
         return pa.record_batch({
-            "lang": pa.array([lang] * n, pa.string()), "k": np.full(n, k, np.int32),
+            "lang": pa.array([lang] * len(phrases), pa.string()),
             "phrase": pa.array([p.decode("utf-8", "replace") for p in phrases], pa.string()), "n": np.asarray(times, np.int64),
         })
 
@@ -232,7 +232,9 @@ def counts(docs: DataFrame, counted: Bitmap | None, proposed: Bitmap | None, mos
         yield from counter.flush()
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
-    return texts.mapInArrow(count, "lang string, k int, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    summed = texts.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    k = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return summed.select("lang", k.alias("k"), "phrase", "n")
 
 
 def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, most: int = MOST_WORDS) -> DataFrame:
@@ -243,7 +245,7 @@ def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, mos
     counted, bitmap = None, None if proposed is None else bitmap_of(proposed)
     known = None
     while True:
-        found = counts(docs, counted, bitmap, most).where((F.col("k") == 0) | (F.col("n") >= least))
+        found = counts(docs, counted, bitmap, most).where((F.col("phrase") == "") | (F.col("n") >= least))
         # A phrase may be counted in two passes, by a bitmap's false positives: with the same result.
         known = found if known is None else known.unionByName(found).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n"))
         known = stored(known, "phrases")
@@ -258,12 +260,13 @@ def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, mos
 
 
 def proposals(docs: DataFrame, least: int, share: int = SAMPLE_SHARE, most: int = MOST_WORDS) -> DataFrame:
-    """Phrases (``lang, phrase``) that are frequent in one document of ``share`` at a lowered threshold."""
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("phrases")), F.lit(share)) == 0)
+    """Phrases (``lang, phrase``) that are frequent in one piece of text in ``share``, at a lowered threshold."""
+    drawn = F.filter(
+        F.split("text", SEPARATORS), lambda piece, k: F.pmod(F.xxhash64(F.col("doc_id"), k, F.lit("phrases")), F.lit(share)) == 0
+    )
+    sample = stored(docs.select("lang", F.array_join(drawn, "\n").alias("text")).where("text <> ''"), "phrase-sample")
     lowered = max(2, round(SAMPLE_SLACK * least / share))
-    return frequent(stored(sample.select("lang", "text"), "phrase-sample"), lowered, most=most).where(
-        F.col("k").between(1, most - 1)
-    ).select("lang", "phrase")
+    return frequent(sample, lowered, most=most).where(F.col("k").between(1, most - 1)).select("lang", "phrase")
 
 
 def _joined(words: Column, first, size) -> Column:
