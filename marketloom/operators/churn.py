@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marketloom.functions.dates import epoch_micros
 from marketloom.functions.numeric import percent
 from marketloom.operators.base import analysis_day, completed_orders, customer_facts
-from marketloom.operators.ranking import exact_percentiles, written
+from marketloom.operators.ranking import percentiles, written
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
 
@@ -39,14 +39,13 @@ def order_gaps(shop: Shop) -> DataFrame:
 
 def repurchase_interval(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     gaps = written(order_gaps(shop), "gaps")
-    median = exact_percentiles(gaps, [], "gap", {"median": 0.5}, F.col("n"))
-    mean = gaps.agg(
-        (F.sum(F.col("gap").cast("decimal(20,0)") * F.col("n")) / F.sum("n")).cast("decimal(28,6)").alias("mean")
-    )
+    median = percentiles(gaps, {"gap": {"median": 0.5}}, "n")["gap"]["median"]
+    mean = (F.sum(F.col("gap").cast("decimal(20,0)") * F.col("n")) / F.sum("n")).cast("decimal(28,6)")
     days = F.lit(DAY).cast("decimal(18,0)")
-    return median.select(
-        F.round(F.col("median").cast("decimal(28,6)") / days, 1).cast("double").alias("median_repurchase_days"),
-        F.round(mean.scalar() / days, 1).cast("double").alias("avg_repurchase_days"),
+    # Without any gap there is no row of medians.
+    return gaps.agg(mean.alias("mean")).where("mean IS NOT NULL").select(
+        F.round(F.lit(median).cast("double").cast("decimal(28,6)") / days, 1).cast("double").alias("median_repurchase_days"),
+        F.round(F.col("mean") / days, 1).cast("double").alias("avg_repurchase_days"),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketloom.functions.dates import whole_days
 from marketloom.operators.base import completed_orders, customer_facts, reference_day, with_row
 from marketloom.operators.funnel import known_sessions, reached
-from marketloom.operators.ranking import exact_percentiles, running_totals, written
+from marketloom.operators.ranking import percentiles, running_totals, written
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
 
@@ -256,7 +256,7 @@ def risk_bands(scored: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 def priority_list(banded: DataFrame) -> DataFrame:
     """High-risk customers whose spend is above the median of all scored customers."""
-    median = exact_percentiles(banded, [], "total_spend", {"median": 0.5}).scalar()
+    median = F.lit(percentiles(banded, {"total_spend": {"median": 0.5}})["total_spend"]["median"]).cast("double")
     return banded.filter(F.col("risk_segment") == RISK_BANDS[2]).filter(
         F.col("total_spend").cast("double") > median
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from marketloom.functions.dates import parse_timestamp
 from marketloom.functions.text import null_if_in, strip, title_case
@@ -34,6 +34,17 @@ PRODUCT_TEXTS = ("category", "subcategory", "brand")
 # ---- Rules ---------------------------------------------------------------------------------------------
 
 
+def drops(number: str, reason: str) -> Callable[[Rule], Rule]:
+    """Marks a rule that leaves rows out, with its number and why these go."""
+
+    def mark(rule: Rule) -> Rule:
+        rule.number, rule.reason = number, reason
+        return rule
+
+    return mark
+
+
+@drops("C1", "repeated row")
 def drop_repeated_rows(df: DataFrame) -> DataFrame:
     """Of rows equal in every column but their place, one."""
     return df.dropDuplicates([c for c in df.columns if c != "_seq"])
@@ -42,6 +53,7 @@ def drop_repeated_rows(df: DataFrame) -> DataFrame:
 def keep_first(key: str) -> Rule:
     """Per key the first row of the file. Spark limits each map task to one row per key before the shuffle."""
 
+    @drops("C2", f"repeated {key}")
     def rule(df: DataFrame) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(key).orderBy("_seq"))
         return df.withColumn("_place", place).filter("_place = 1").drop("_place")
@@ -94,19 +106,19 @@ def zero_if_missing(*columns: str) -> Rule:
 
 def valid_time(column: str, kind: str = "timestamp_ntz") -> Rule:
     """Parsed; rows whose text is no date are dropped."""
-    return lambda df: df.withColumn(column, parse_timestamp(F.col(column)).cast(kind)).filter(
+    return drops("C8", f"{column} is no date")(lambda df: df.withColumn(column, parse_timestamp(F.col(column)).cast(kind)).filter(
         F.col(column).isNotNull()
-    )
+    ))
 
 
 def with_parent(parent: DataFrame, key: str) -> Rule:
     """Rows whose key exists in the cleaned parent table."""
-    return lambda df: df.join(parent.select(key), key, "left_semi")
+    return drops("C9", f"{key} is unknown")(lambda df: df.join(parent.select(key), key, "left_semi"))
 
 
 def listed(column: str, values: tuple[str, ...]) -> Rule:
     """C10."""
-    return lambda df: df.filter(F.col(column).isin(*values))
+    return drops("C10", f"{column} is not listed")(lambda df: df.filter(F.col(column).isin(*values)))
 
 
 def flag_missing_cost(df: DataFrame) -> DataFrame:
@@ -139,6 +151,7 @@ def flag_invalid_price(df: DataFrame) -> DataFrame:
     return df.withColumn("price_is_invalid", F.coalesce(F.col("selling_price") <= 0, F.lit(False)))
 
 
+@drops("C14", "quantity is not positive")
 def positive_quantity(df: DataFrame) -> DataFrame:
     """C14."""
     return df.filter("quantity > 0")
@@ -149,11 +162,13 @@ def add_line_total(df: DataFrame) -> DataFrame:
     return df.withColumn("line_total", (F.col("quantity") * F.col("unit_price")).cast(MONEY))
 
 
+@drops("C16", "more clicks than impressions or conversions than clicks")
 def plausible_clicks(df: DataFrame) -> DataFrame:
     """C16."""
     return df.filter("clicks <= impressions AND conversions <= clicks")
 
 
+@drops("C17", "amount is negative")
 def no_negative_amount(df: DataFrame) -> DataFrame:
     """C17."""
     return df.filter("amount >= 0")
@@ -173,12 +188,29 @@ class Cleaning:
         self.raw = raw
         self._keep = keep
         self._done: dict[str, DataFrame] = {}
+        # Per table: its raw rows, then (rule, rows left) for every rule that leaves rows out.
+        self._seen: dict[str, list[tuple[Rule | None, Observation]]] = {}
 
     def keeping(self, keep: Callable[[DataFrame, str], DataFrame]) -> "Cleaning":
         return Cleaning(self.raw, keep)
 
     def _run(self, table: str, *rules: Rule) -> DataFrame:
-        return reduce(DataFrame.transform, rules, self.raw(table))
+        """The raw table after ``rules``; in a keeping run rows are counted on the way, in the pass that stores the table."""
+        df, seen = self.raw(table), []
+
+        def counted(df: DataFrame, rule: Rule | None) -> DataFrame:
+            if self._keep is None or table in self._seen:
+                return df
+            seen.append((rule, Observation(f"{table}-{len(seen)}-{id(seen)}")))
+            return df.observe(seen[-1][1], F.count(F.lit(1)).alias("rows"))
+
+        df = counted(df, None)
+        for rule in rules:
+            df = rule(df)
+            if hasattr(rule, "reason"):
+                df = counted(df, rule)
+        self._seen.setdefault(table, seen)
+        return df
 
     def _finished(self, table: str, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN[table]])
@@ -260,6 +292,26 @@ class Cleaning:
     def shop(self, spark) -> Shop:
         return Shop(spark, self.table)
 
+    def rule_audit(self, spark: SparkSession) -> DataFrame:
+        """C18 in detail: per table and rule that leaves rows out, the rows before and after, and why they go.
+
+        Needs ``keep``. Counts are metrics of the pass that stores a table, so nothing is read for them a second time. A
+        task that runs again after its executor was lost counts again: the counts are a report, the tables don't rest on
+        them. The last count of a table is compared with the rows that were stored.
+        """
+        lines = []
+        for name in TABLES:
+            kept = self.table(name)
+            (_, raw), *steps = self._seen[name]
+            before = raw.get["rows"]
+            for step, (rule, left) in enumerate(steps, 1):
+                lines.append((name, step, rule.number, rule.reason, before, left.get["rows"]))
+                before = left.get["rows"]
+            stored = kept.count()
+            if before != stored:
+                raise RuntimeError(f"{name}: {before} rows were counted and {stored} stored; some task ran twice")
+        return spark.createDataFrame(lines, "table_name string, step int, rule string, reason string, rows_in bigint, rows_out bigint")
+
     def audit(self) -> DataFrame:
         """Rows before and after, per table."""
         lines = []

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from marketloom.functions.numeric import mean_of, percent
 from marketloom.operators.base import completed_orders, customer_facts, order_facts, product_totals, with_row
-from marketloom.operators.ranking import exact_percentiles, written
+from marketloom.operators.ranking import percentiles, written
 from marketloom.operators.sales import monthly_net
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
@@ -45,9 +45,9 @@ def order_values(shop: Shop) -> DataFrame:
 
 def order_value_statistics(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     values = written(order_values(shop), "order-values")
-    median = exact_percentiles(values, [], "order_value", {"median": 0.5})
+    median = percentiles(values, {"order_value": {"median": 0.5}})["order_value"]["median"]
     return values.agg(mean_of(F.col("order_value"), 2).alias("mean_order_value")).withColumn(
-        "median_order_value", F.round(median.scalar().cast("decimal(28,6)"), 2)
+        "median_order_value", F.round(F.lit(median).cast("decimal(28,6)"), 2)
     )
 
 
@@ -55,8 +55,8 @@ def order_value_histogram(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     """Equal bins from the least to the greatest value below the quantile; the last bin is closed."""
     bins = params.histogram_bins
     values = written(order_values(shop).select(F.col("order_value").cast("double").alias("v")), "order-values")
-    cut = exact_percentiles(values, [], "v", {"cut": params.histogram_quantile})
-    kept = values.filter(F.col("v") < cut.scalar())
+    cut = percentiles(values, {"v": {"cut": params.histogram_quantile}})["v"]["cut"]
+    kept = values.filter(F.col("v") < F.lit(cut).cast("double"))
     span = kept.agg(F.min("v").alias("low"), F.max("v").alias("high"))
     place = F.floor((F.col("v") - F.col("span.low")) * bins / (F.col("span.high") - F.col("span.low")))
     counted = with_row(kept, span, "span").select(
@@ -105,8 +105,8 @@ def key_figures(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     figures = values.agg(
         F.sum("order_value").alias("net_revenue"), mean_of(F.col("order_value"), 2).alias("aov")
     )
-    median = exact_percentiles(values, [], "order_value", {"median": 0.5}).scalar()
+    median = percentiles(values, {"order_value": {"median": 0.5}})["order_value"]["median"]
     return with_row(orders, figures, "f").select(
         customers.alias("customers"), "completed_orders", F.round("f.net_revenue", 2).alias("net_revenue"),
-        "f.aov", F.round(median.cast("decimal(28,6)"), 2).alias("median_order_value"), "first_day", "last_day",
+        "f.aov", F.round(F.lit(median).cast("decimal(28,6)"), 2).alias("median_order_value"), "first_day", "last_day",
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketloom.functions.numeric import percent, ratio
-from marketloom.operators.base import completed_orders, product_totals, with_row
-from marketloom.operators.ranking import exact_percentiles, written
+from marketloom.operators.base import completed_orders, product_totals
+from marketloom.operators.ranking import percentiles, written
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
 
@@ -38,18 +38,10 @@ def product_performance(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 def product_classes(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     sales = written(product_sales(shop), "product-sales")
-    stacked = sales.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(m).alias("measure"), F.col(m).cast("decimal(28,6)").alias("value"))
-            for m in ("units_sold", "gross_margin")
-        ]))
-    )
-    medians = exact_percentiles(stacked, ["measure"], "value", {"median": 0.5}).agg(
-        *[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in ("units_sold", "gross_margin")]
-    )
-    sells = F.col("units_sold").cast("double") >= F.col("medians.units_sold")
-    earns = F.col("gross_margin").cast("double") >= F.col("medians.gross_margin")
-    return with_row(sales, medians, "medians").select(
+    half = {"median": 0.5}
+    medians = percentiles(sales, {"units_sold": half, "gross_margin": half})
+    sells, earns = (F.col(c).cast("double") >= F.lit(medians[c]["median"]).cast("double") for c in medians)
+    return sales.select(
         "product_id", "product_name", "category", "units_sold", "gross_margin",
         F.when(sells & earns, "Star").when(sells, "Problem Product").when(earns, "Hidden Gem")
         .otherwise("Dead Stock").alias("product_classification"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from marketloom.functions.dates import whole_days
 from marketloom.functions.numeric import mean_of
-from marketloom.operators.base import analysis_day, customer_facts, reference_day, with_row
-from marketloom.operators.ranking import interpolated, ranked_measures, tile_of
+from marketloom.operators.base import analysis_day, customer_facts, reference_day
+from marketloom.operators.ranking import between, place, places_of, selected, tile_starts, written
 from marketloom.params import DEFAULTS, Params
 from marketloom.shop import Shop
 
@@ -65,9 +65,14 @@ def rfm_values(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def _of(measure: str, column: Column) -> Column:
-    """Aggregate: ``column`` of the row of that measure."""
-    return F.max(F.when(F.col("measure") == measure, column))
+MEASURES = ("recency_days", "frequency", "monetary")
+
+
+def _past(values: DataFrame, measure: str, rows: list[Row], strictly: bool = False) -> Column:
+    """How many of ``rows`` a customer reaches, or passes, in the order of the measure and the customer."""
+    order = [measure, "customer_id"]
+    here, at = F.struct(*order), [place(values, order, (r[measure], r["customer_id"])) for r in rows]
+    return sum(((here > x if strictly else here >= x).cast("int") for x in at), F.lit(0))
 
 
 def rfm_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
@@ -75,18 +80,14 @@ def rfm_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 
 def _rfm_scores(shop: Shop, params: Params) -> DataFrame:
-    """NTILE scores, ties by customer_id; the three rankings share one range-partitioned pass."""
-    ranked = ranked_measures(rfm_values(shop, params), "customer_id", ["recency_days", "frequency", "monetary"])
-    tile = tile_of(F.col("rank"), F.col("rank_all"), params.score_groups)
-    scored = ranked.groupBy("customer_id").agg(
-        _of("recency_days", F.col("value")).cast("int").alias("recency_days"),
-        _of("frequency", F.col("value")).cast("bigint").alias("frequency"),
-        _of("monetary", F.col("value")).alias("monetary"),
-        (params.score_groups + 1 - _of("recency_days", tile)).alias("r_score"),
-        _of("frequency", tile).alias("f_score"),
-        _of("monetary", tile).alias("m_score"),
-    )
-    return scored.withColumn("rfm_total_score", total_score())
+    """NTILE scores, ties by customer_id: the first customer of each tile is looked up, and all are compared with these."""
+    values, groups = written(rfm_values(shop, params), "rfm-values"), params.score_groups
+    starts = tile_starts(values.count(), groups)
+    first = selected(values, {m: [m, "customer_id"] for m in MEASURES}, dict.fromkeys(MEASURES, starts))
+    tile = {m: 1 + _past(values, m, [first[m][r] for r in starts if r in first[m]]) for m in MEASURES}
+    return values.select(
+        "*", (groups + 1 - tile["recency_days"]).alias("r_score"), tile["frequency"].alias("f_score"), tile["monetary"].alias("m_score"),
+    ).withColumn("rfm_total_score", total_score())
 
 
 def _segmented(shop: Shop, params: Params) -> DataFrame:
@@ -142,36 +143,28 @@ def rfm_edge_scores(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 def _rfm_edge_scores(shop: Shop, params: Params) -> DataFrame:
     """Scores by quantile edges: equal values share a score, except for frequency, scored by its rank.
 
-    One range-partitioned pass ranks all three measures; the edges are read off the ranks.
+    The rows that the edges lie between are looked up; all customers are compared with the edges.
     """
-    groups = params.score_groups
-    ranked = ranked_measures(
-        rfm_values_by_periods(shop, params), "customer_id", ["recency_days", "frequency", "monetary"]
-    )
-    edges = interpolated(
-        ranked.filter("measure <> 'frequency'"), ["measure"], "value", F.col("rank"), F.lit(1), F.col("rank_all"),
-        {f"e{i}": i / groups for i in range(groups + 1)},
-    )
+    values, groups = written(rfm_values_by_periods(shop, params), "rfm-values"), params.score_groups
+    total = values.count()
+    points = [i / groups for i in range(groups + 1)]
     # The quantile edges of the ranks 1 … n are 1 + (n - 1) * i / groups.
-    by_rank = F.when((F.col("rank") - 1) * groups <= F.col("rank_all") - 1, 1)
-    for i in range(2, groups):
-        by_rank = by_rank.when((F.col("rank") - 1) * groups <= (F.col("rank_all") - 1) * i, i)
-    scored = ranked.groupBy("customer_id").agg(
-        _of("recency_days", F.col("value")).cast("int").alias("recency_days"),
-        _of("frequency", F.col("value")).cast("bigint").alias("frequency"),
-        _of("monetary", F.col("value")).alias("monetary"),
-        _of("frequency", by_rank.otherwise(groups)).alias("f_score"),
-    )
-    scored = with_row(scored, edges.filter("measure = 'recency_days'"), "r_edges")
-    scored = with_row(scored, edges.filter("measure = 'monetary'"), "m_edges")
-    return scored.withColumns({
-        "r_score": groups + 1 - _edge_score(F.col("recency_days").cast("double"), F.col("r_edges"), groups),
-        "m_score": _edge_score(F.col("monetary").cast("double"), F.col("m_edges"), groups),
-    }).select(
-        "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
-        total_score().alias("rfm_total_score"),
+    last = [(total - 1) * i // groups + 1 for i in range(1, groups)]
+    rows = selected(
+        values, {m: [m, "customer_id"] for m in MEASURES},
+        {"recency_days": places_of(total, points), "monetary": places_of(total, points), "frequency": sorted(set(last))},
     )
 
+    def score(measure: str) -> Column:
+        edges = [F.lit(between(rows[measure], measure, total, p)).cast("double").alias(f"e{i}") for i, p in enumerate(points)]
+        return _edge_score(F.col(measure).cast("double"), F.struct(*edges), groups)
+
+    return values.select(
+        "*", (groups + 1 - score("recency_days")).alias("r_score"),
+        (1 + _past(values, "frequency", [rows["frequency"][r] for r in last if r in rows["frequency"]], strictly=True)).alias("f_score"),
+        score("monetary").alias("m_score"),
+    ).withColumn("rfm_total_score", total_score())
+
 
 def rfm_edge_segments(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
     return rfm_edge_scores(shop, params).withColumn(

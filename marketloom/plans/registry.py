@@ -364,6 +364,7 @@ _add(
         "C17": _rule("payments", cleaning.keep_first("payment_id"), cleaning.numbers(amount="decimal(18,2)"),
                      cleaning.no_negative_amount, columns=("payment_id", "amount")),
         "C18": lambda spark, folder: plain_types(star_cleaning(spark, folder).keeping(written).audit()),
+        "C18_rules": lambda spark, folder: plain_types(star_cleaning(spark, folder).keeping(written).rule_audit(spark)),
     },
     sql_cleaning.RULES,
 )

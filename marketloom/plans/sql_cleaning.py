@@ -142,6 +142,58 @@ RULES: dict[str, str] = {
     ]),
 }
 
+# Per table the rules that leave rows out, in order: number, reason, and what is true of the rows that stay besides.
+_STEPS = {
+    "customers": [("C2", "repeated customer_id", "TRUE"), ("C8", "signup_date is no date", "k % 31 <> 0 AND k % 41 <> 0")],
+    "products": [("C2", "repeated product_id", "TRUE")],
+    "orders": [
+        ("C2", "repeated order_id", "TRUE"), ("C8", "order_date is no date", "k % 73 <> 0"),
+        ("C9", "customer_id is unknown", "k % 71 <> 0 AND customer_id IN (SELECT customer_id FROM ok_customers)"),
+        ("C10", "order_status is not listed", "k % 79 <> 0"),
+    ],
+    "order_items": [
+        ("C2", "repeated order_item_id", "TRUE"), ("C9", "order_id is unknown", "order_id IN (SELECT order_id FROM ok_orders)"),
+        ("C9", "product_id is unknown", "pk % 61 <> 0"), ("C14", "quantity is not positive", "sk % 40 NOT IN (7, 8)"),
+    ],
+    "web_events": [
+        ("C2", "repeated event_id", "TRUE"), ("C8", "event_timestamp is no date", "k % 43 <> 0"),
+        ("C9", "customer_id is unknown", "k % 59 <> 0 AND customer_id IN (SELECT customer_id FROM ok_customers)"),
+        ("C10", "event_name is not listed", "k % 47 <> 0"),
+    ],
+    "marketing_campaigns": [
+        ("C1", "repeated row", "TRUE"), ("C8", "date is no date", "impressions % 41 <> 0"),
+        ("C16", "more clicks than impressions or conversions than clicks", "impressions % 43 <> 0 AND impressions % 47 <> 0"),
+    ],
+    "payments": [
+        ("C2", "repeated payment_id", "TRUE"), ("C9", "order_id is unknown", "order_id IN (SELECT order_id FROM ok_orders)"),
+        ("C8", "payment_date is no date", "CAST(substr(payment_id, 2) AS BIGINT) % 61 <> 0"),
+        ("C17", "amount is negative", "CAST(substr(payment_id, 2) AS BIGINT) % 67 <> 0"),
+    ],
+    "returns": [
+        ("C2", "repeated return_id", "TRUE"), ("C9", "order_id is unknown", "order_id IN (SELECT order_id FROM ok_orders)"),
+        ("C8", "return_date is no date", "refund % 61 <> 0"),
+    ],
+    "experiments": [
+        ("C1", "repeated row", "TRUE"), ("C8", "experiment_date is no date", "CAST(substr(customer_id, 2) AS BIGINT) % 61 <> 0"),
+        ("C10", "variant is not listed", "CAST(substr(customer_id, 2) AS BIGINT) % 67 <> 0"),
+    ],
+}
+
+
+def _rule_rows(table: str) -> str:
+    lines, before, stay = [], f"(SELECT {_RAW_ROWS[table]})", []
+    for step, (rule, reason, condition) in enumerate(_STEPS[table], 1):
+        stay.append(f"({condition})")
+        after = f"(SELECT count(*) FROM {_MAPPED[table]} WHERE {' AND '.join(stay)})"
+        lines.append(
+            f"SELECT '{table}' AS table_name, CAST({step} AS BIGINT) AS step, '{rule}' AS rule, '{reason}' AS reason, {before} AS rows_in, {after} AS rows_out"
+        )
+        before = after
+    return _union(lines)
+
+
+RULES["C18_rules"] = _union([_rule_rows(t) for t in _STEPS])
+
 SOURCES: dict[str, str] = {
     "S1": _union([f"SELECT '{t}' AS table_name, (SELECT {sql}) AS total_rows" for t, sql in _RAW_ROWS.items()]),
     "S2": _union([
