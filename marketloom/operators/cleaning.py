@@ -184,22 +184,30 @@ class Cleaning:
     many children it has.
     """
 
-    def __init__(self, raw: Callable[[str], DataFrame], keep: Callable[[DataFrame, str], DataFrame] | None = None):
+    def __init__(
+        self, raw: Callable[[str], DataFrame], keep: Callable[[DataFrame, str], DataFrame] | None = None, counting: bool = False,
+    ):
         self.raw = raw
         self._keep = keep
+        self._counting = counting
         self._done: dict[str, DataFrame] = {}
         # Per table: its raw rows, then (rule, rows left) for every rule that leaves rows out.
         self._seen: dict[str, list[tuple[Rule | None, Observation]]] = {}
 
-    def keeping(self, keep: Callable[[DataFrame, str], DataFrame]) -> "Cleaning":
-        return Cleaning(self.raw, keep)
+    def keeping(self, keep: Callable[[DataFrame, str], DataFrame], counting: bool = False) -> "Cleaning":
+        """``counting`` counts rows per rule in the passes that store the tables, for ``rule_audit``.
+
+        A session in which rows were counted so can't run plans that send the session to tasks, as some of Spark's do:
+        the raw tables should come from a session of their own (``spark.newSession()``).
+        """
+        return Cleaning(self.raw, keep, counting)
 
     def _run(self, table: str, *rules: Rule) -> DataFrame:
-        """The raw table after ``rules``; in a keeping run rows are counted on the way, in the pass that stores the table."""
+        """The raw table after ``rules``; in a counting run rows are counted on the way, in the pass that stores the table."""
         df, seen = self.raw(table), []
 
         def counted(df: DataFrame, rule: Rule | None) -> DataFrame:
-            if self._keep is None or table in self._seen:
+            if not self._counting or table in self._seen:
                 return df
             seen.append((rule, Observation(f"{table}-{len(seen)}-{id(seen)}")))
             return df.observe(seen[-1][1], F.count(F.lit(1)).alias("rows"))
@@ -295,7 +303,7 @@ class Cleaning:
     def rule_audit(self, spark: SparkSession) -> DataFrame:
         """C18 in detail: per table and rule that leaves rows out, the rows before and after, and why they go.
 
-        Needs ``keep``. Counts are metrics of the pass that stores a table, so nothing is read for them a second time. A
+        Needs a counting run. Counts are metrics of the pass that stores a table, so nothing is read for them a second time. A
         task that runs again after its executor was lost counts again: the counts are a report, the tables don't rest on
         them. The last count of a table is compared with the rows that were stored.
         """

@@ -9,24 +9,29 @@ from marketloom.operators.cleaning import Cleaning
 from marketloom.operators.ranking import written
 from marketloom.params import DEFAULTS, Params
 from marketloom.plans.catalogue import in_order
-from marketloom.schemas import TABLES
 from marketloom.shop import Shop
-from marketloom.sources.files import read_raw_csv, write_csv, write_result_csv
+from marketloom.sources.files import quarantine, read_raw_csv, write_csv, write_result_csv
 
 
 def clean_files(spark: SparkSession, raw_folder: str, clean_folder: str, csv: bool = False) -> Shop:
-    """Raw CSV folders, one per table, to cleaned Parquet (and CSV) tables; each is written once, parents first."""
+    """Raw CSV folders, one per table, to cleaned Parquet (and CSV) tables; each is written once, parents first.
+
+    ``clean_folder`` also gets ``quarantine``, the records whose fields don't match the columns, and ``rule_counts``, how many
+    rows each rule left out.
+    """
+
+    own = spark.newSession()  # see Cleaning.keeping
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{clean_folder}/{name}")
-        stored = spark.read.schema(df.schema).parquet(f"{clean_folder}/{name}")
+        stored = own.read.schema(df.schema).parquet(f"{clean_folder}/{name}")
         if csv:
             write_csv(stored, f"{clean_folder}/csv/{name}")
         return stored
 
-    cleaning = Cleaning(lambda t: read_raw_csv(spark, f"{raw_folder}/{t}", t), keep)
-    for table in TABLES:
-        cleaning.table(table)
+    cleaning = Cleaning(lambda t: read_raw_csv(own, f"{raw_folder}/{t}", t), keep, counting=True)
+    cleaning.rule_audit(spark).write.parquet(f"{clean_folder}/rule_counts")
+    quarantine(spark, raw_folder, f"{clean_folder}/quarantine")
     return Shop.of_parquet(spark, clean_folder)
 
 

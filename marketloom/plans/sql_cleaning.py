@@ -203,6 +203,11 @@ SOURCES: dict[str, str] = {
     "S3": _union([f"SELECT '{t}' AS table_name, count(*) AS total_rows FROM {c}" for t, c in _MAPPED.items()]),
 }
 SOURCES["S4"] = SOURCES["S3"]
+SOURCES["S1_quarantine"] = _union([
+    "SELECT 'customers' AS table_name, 'surplus fields' AS reason, customer_id || ',a,b,c,d,e,f,g,h' AS text FROM m_customers WHERE k % 97 = 0",
+    "SELECT 'customers', 'missing fields', customer_id || ',a' FROM m_customers WHERE k % 89 = 0 AND k % 97 <> 0",
+    *[f"SELECT '{t}', 'rows kept', CAST((SELECT {sql}) AS VARCHAR)" for t, sql in _RAW_ROWS.items()],
+])
 
 # Per table its columns in order: the mapped expression, decimals as unscaled numbers.
 _VALUES = {

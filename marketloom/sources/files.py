@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marketloom.functions.numeric import plain_types
 from marketloom.functions.text import missing_to_null
@@ -17,19 +17,57 @@ _CSV = {"header": True, "escape": '"', "enforceSchema": False, **_STAMPS}
 _AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
-    """The raw table as text, missing-value spellings as null, and ``_seq`` as the place in the files.
+_LINE = "_line"
+
+
+def _raw_records(spark: SparkSession, path: str, table: str, multi_line: bool) -> DataFrame:
+    """Raw columns as text, ``_seq``, and in ``_line`` the text of a record whose fields don't match the columns.
 
     Ids grow within a split and splits carry their offset, so (file, split, id) is the order of the rows in the
-    files however Spark packs splits into tasks. With ``multi_line`` values may hold line breaks; such files are not split.
+    files however Spark packs splits into tasks. Whole records are parsed, whatever columns are asked for.
     """
-    rows = spark.read.schema(raw_schema(table)).options(multiLine=multi_line, **_CSV).csv(path)
+    schema = raw_schema(table)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE, "columnPruning": False, "multiLine": multi_line, **_CSV}
+    rows = spark.read.schema(T.StructType([*schema, T.StructField(_LINE, T.StringType())])).options(**options).csv(path)
     place = F.struct(
         F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
         F.monotonically_increasing_id().alias("row"),
     )
-    texts = [missing_to_null(F.col(c)).alias(c) for c in rows.columns]
-    return rows.select(*texts, place.alias("_seq"))
+    # Spark refuses reads of the line alone; this condition, always true, asks for a column besides.
+    return rows.select("*", place.alias("_seq")).where(F.coalesce(F.length(schema.names[0]) >= 0, F.lit(True)))
+
+
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """The raw table as text, missing-value spellings as null, and ``_seq`` as the place in the files.
+
+    Records with more or fewer fields than columns are left out; ``malformed_records`` has them. With ``multi_line`` values
+    may hold line breaks; such files are not split.
+    """
+    rows = _raw_records(spark, path, table, multi_line).where(F.col(_LINE).isNull())
+    return rows.select(*[missing_to_null(F.col(c)).alias(c) for c in raw_schema(table).names], "_seq")
+
+
+def malformed_records(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """The records that ``read_raw_csv`` leaves out: ``table_name, file, place, text, reason``.
+
+    ``place`` is the split's offset in the file; separators within quotes don't count as such.
+    """
+    separators = F.regexp_count("text", F.lit(r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    expected = len(raw_schema(table)) - 1
+    return _raw_records(spark, path, table, multi_line).where(F.col(_LINE).isNotNull()).select(
+        F.lit(table).alias("table_name"), F.col("_seq.file_path").alias("file"), F.col("_seq.file_block_start").alias("place"),
+        F.col(_LINE).alias("text"),
+    ).withColumn(
+        "reason", F.when(separators > expected, "surplus fields").when(separators < expected, "missing fields").otherwise("broken quotes")
+    )
+
+
+def quarantine(spark: SparkSession, raw_folder: str, path: str, tables=TABLES) -> DataFrame:
+    """Stores the malformed records of all raw tables, partitioned by table, and reads them back."""
+    found = [malformed_records(spark, f"{raw_folder}/{t}", t) for t in tables]
+    reduce(DataFrame.unionByName, found).write.partitionBy("table_name").parquet(path)
+    schema = "file string, place bigint, text string, reason string, table_name string"
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_clean_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:

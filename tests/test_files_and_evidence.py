@@ -157,3 +157,19 @@ def test_csv_keeps_padding_and_refuses_line_breaks(spark, tmp_path):
         files.write_csv(broken, f"{tmp_path}/broken")
     files.write_csv(broken, f"{tmp_path}/lines", multi_line=True)
     assert spark.read.options(header=True, escape='"', multiLine=True).csv(f"{tmp_path}/lines").first()[0] == "x\ny"
+
+
+def test_malformed_records(spark, tmp_path):
+    """Surplus and missing fields are set aside with their text; quoted separators and empty fields are none."""
+    folder = tmp_path / "raw" / "payments"
+    folder.mkdir(parents=True)
+    good = ["P1,O1,5.00,Success,2024-01-01 00:00:00", 'P2,"O,2",,"a ""b"", c",', ",,,,"]
+    bad = {"P3,O1,5.00": "missing fields", "P4,O1,5.00,Success,2024-01-01 00:00:00,more": "surplus fields", 'P5,"a,b",1,x': "missing fields"}
+    (folder / "one.csv").write_text("\n".join(["payment_id,order_id,amount,payment_status,payment_date", *good, *bad]) + "\n")
+    rows = files.read_raw_csv(spark, str(folder), "payments")
+    assert rows.count() == 3
+    assert [r.order_id for r in rows.orderBy("_seq").collect()] == ["O1", "O,2", None]
+    found = files.quarantine(spark, str(tmp_path / "raw"), str(tmp_path / "quarantine"), ["payments"])
+    assert {r.text: r.reason for r in found.collect()} == bad
+    assert {r.table_name for r in found.collect()} == {"payments"}
+    assert all(r.file.endswith("one.csv") for r in found.collect())
