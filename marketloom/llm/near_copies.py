@@ -80,12 +80,13 @@ def signature(shingles: np.ndarray) -> bytes:
 
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sets = [shingle_set(t) for t in batch["text"]]
-        yield pd.DataFrame({
-            "doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "n_shingles": [len(s) for s in sets],
-            "node": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-            "signature": [signature(s) if len(s) >= LEAST_SET else None for s in sets],
-        })
+        rows = []
+        for text in batch["text"]:  # one set at a time
+            shingles = shingle_set(text)
+            n = len(shingles)
+            rows.append((n, xxhash.xxh3_128_digest(shingles.tobytes()) if n else None, signature(shingles) if n >= LEAST_SET else None))
+        sketches = pd.DataFrame(rows, columns=["n_shingles", "node", "signature"])
+        yield pd.concat([batch[["doc_id", "text_hash"]].reset_index(drop=True), sketches], axis=1)
 
 
 def sketched(docs: DataFrame) -> DataFrame:

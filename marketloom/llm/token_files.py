@@ -37,8 +37,8 @@ SEGMENT_IDS = 1 << 20
 PART_BYTES = 128 << 20
 """Text bytes per range partition, unless the session's shuffle partitions ask for more parts."""
 
-CACHED_PARTS = 200_000
-"""Encoded parts that a worker keeps, twice at most: about 80 MB. What one call needs comes on top."""
+CACHED_PARTS = 100_000
+"""Encoded parts that a worker keeps, twice at most: about 40 MB. What one call needs comes on top."""
 
 SAMPLE = 64
 """Every so many entries a select sample holds the position of its bit."""
@@ -241,7 +241,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _texts(values: pd.Series, most: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+def _texts(values: pd.Series, most: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of together some MB, with the place of the first."""
     begin, size, texts = 0, 0, []
     for k, value in enumerate(values):
