@@ -36,6 +36,9 @@ SAMPLE_SHARE = 8
 SAMPLE_SLACK = 0.4
 """The sample's threshold as a part of what it would hold of a phrase at the threshold, which leaves few phrases out."""
 
+CLOSING_SHARE = 20
+"""Border failures that cover at most one in so many words are settled by one further pass."""
+
 FLUSH_WORDS = 1 << 20
 """Words that a task counts at a time."""
 
@@ -129,8 +132,8 @@ class _Words(dict):
 class PhraseCounter:
     """Counts the phrases of one task: all whose parts are ``proposed``, without those whose parts are ``counted``."""
 
-    def __init__(self, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS):
-        self.counted, self.proposed, self.most = counted, proposed, most
+    def __init__(self, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS, closing: bool = False):
+        self.counted, self.proposed, self.most, self.closing = counted, proposed, most, closing
         self.words = _Words()
         self.streams: dict[str, list[np.ndarray]] = {}
         self.size = 0
@@ -204,6 +207,8 @@ class PhraseCounter:
                 yield self._rows(lang, list(map(b" ".join, zip(*columns))), times[fresh])
             code_hash = extended(code_hash[code[starts[at]]], hashes[last[at]])
             in_wanted = self.proposed.holds(code_hash)
+            if self.closing:
+                in_wanted |= ~old
             in_done = old & self.counted.holds(code_hash) if self.counted is not None else old
             next_code, wanted_at, done_at = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool), np.zeros(len(ids), bool)
             next_code[starts], wanted_at[starts], done_at[starts] = which, in_wanted[which], in_done[which]
@@ -217,15 +222,18 @@ class PhraseCounter:
         })
 
 
-def counts(docs: DataFrame, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS) -> DataFrame:
+def counts(
+    docs: DataFrame, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS, closing: bool = False,
+) -> DataFrame:
     """``lang, k, phrase, n``: exact counts over all texts of the phrases of ``k`` words that ``proposed`` adds to ``counted``.
 
-    The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0.
+    The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0. A ``closing``
+    pass takes all phrases that it counts anew for proposed ones, and so counts their extensions at once.
     """
     shared = docs.sparkSession.sparkContext.broadcast((counted, proposed))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PhraseCounter(*shared.value, most)
+        counter = PhraseCounter(*shared.value, most, closing)
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
                 yield from counter.feed(lang.as_py(), text.as_py())
@@ -243,18 +251,23 @@ def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, mos
     ``proposed`` (``lang, phrase``) are counted at once; what turns out frequent besides takes further passes.
     """
     counted, bitmap = None, None if proposed is None else bitmap_of(proposed)
-    known = None
+    known, closing = None, False
     while True:
-        found = counts(docs, counted, bitmap, most).where((F.col("phrase") == "") | (F.col("n") >= least))
+        found = counts(docs, counted, bitmap, most, closing).where((F.col("phrase") == "") | (F.col("n") >= least))
         # A phrase may be counted in two passes, by a bitmap's false positives: with the same result.
         known = found if known is None else known.unionByName(found).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n"))
         known = stored(known, "phrases")
-        open_ = known.where(F.col("k").between(1, most - 1)).select("lang", "phrase")
+        if closing:  # parts of a frequent phrase are proposed or were counted just now: it was counted as well
+            return known
+        open_ = known.where(F.col("k").between(1, most - 1)).select("lang", "phrase", "n")
         if proposed is not None:
             open_ = open_.join(proposed, ["lang", "phrase"], "left_anti")
         open_ = stored(open_, "border-failures")
         if open_.isEmpty():
             return known
+        # Few occurrences to extend: a closing pass counts little more than a plain one and is the last.
+        words, extended_ = known.agg(F.sum(F.when(F.col("k") == 0, F.col("n")))).first()[0], open_.agg(F.sum("n")).first()[0]
+        closing, open_ = extended_ * CLOSING_SHARE <= words, open_.drop("n")
         proposed = open_ if proposed is None else stored(proposed.unionByName(open_), "proposals")
         counted, bitmap = bitmap or Bitmap(LEAST_BITS, bytes(1 << (LEAST_BITS - 3))), bitmap_of(proposed)
 

@@ -76,8 +76,10 @@ def test_corpus_and_empty_table(spark):
     assert phrases.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_border_failures_are_counted(spark, texts):
+@pytest.mark.parametrize("share", [0, 10**9])  # every further pass is a closing one, or none is
+def test_border_failures_are_counted(spark, texts, monkeypatch, share):
     """Whatever is proposed, and nothing at all, the frequent phrases are the same."""
+    monkeypatch.setattr(phrases, "CLOSING_SHARE", share)
     docs = spark.createDataFrame(texts, "doc_id long, lang string, text string")
     wanted = {key: n for key, n in all_counts([(lang, text) for _, lang, text in texts]).items() if n >= 25 or key[1] == 0}
     odd = spark.createDataFrame([("en", "the a"), ("en", "never seen"), ("xx", "a")], "lang string, phrase string")
