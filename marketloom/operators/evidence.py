@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketloom.operators.ranking import running_totals
 from marketloom.params import DEFAULTS, Params
-from marketloom.plans.catalogue import VIEWS, view
+from marketloom.plans.catalogue import VIEWS, in_order, view
 from marketloom.shop import Shop
 
 SECTIONS = ("ml_predictions", "ab_testing", "sql_analytics", "python_analytics")
@@ -57,9 +57,14 @@ def view_samples(shop: Shop, params: Params = DEFAULTS, views: tuple[str, ...] =
     return shop.spark.createDataFrame(lines, ITEM_SCHEMA)
 
 
-def result_summary(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Row count, column names and the first rows as JSON, missing values as null."""
-    sample = df.limit(params.sample_rows).select(row_json(df).alias("j")).agg(F.collect_list("j")).scalar()
+def result_summary(df: DataFrame, params: Params = DEFAULTS, order: tuple[str, ...] = ()) -> DataFrame:
+    """Row count, column names and the first rows in ``order`` as JSON, missing values as null.
+
+    ``order`` is that of a view; rows that it leaves equal follow by all their values, so the sample is always the same.
+    """
+    first = in_order(df, (*order, *df.columns)).limit(params.sample_rows).select(row_json(df).alias("j"))
+    numbered = first.withColumn("n", F.monotonically_increasing_id())
+    sample = numbered.agg(F.array_sort(F.collect_list(F.struct("n", "j")))["j"].alias("sample")).scalar()
     return df.agg(F.count("*").alias("row_count")).select(
         "row_count", F.array(*[F.lit(c) for c in df.columns]).alias("columns"), sample.alias("sample")
     )

@@ -494,12 +494,27 @@ def _view_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _summary(shop: Shop) -> DataFrame:
-    summary = evidence.result_summary(VIEWS["F2"].run(shop))
+    summary = evidence.result_summary(VIEWS["F2"].run(shop), order=VIEWS["F2"].order)
     return summary.select(
         "row_count", F.array_join("columns", ",").alias("columns"), F.size("sample").alias("sample_rows")
     )
 
 
+def _sample(shop: Shop) -> DataFrame:
+    """The rows that the summary shows, read back from their JSON."""
+    rows = plain_types(VIEWS["F2"].run(shop))
+    shown = evidence.result_summary(rows, order=VIEWS["F2"].order).select(F.posexplode("sample").alias("place", "row"))
+    back = F.from_json("row", rows.schema)
+    return shown.select((F.col("place") + 1).cast("bigint").alias("place"), back.alias("row")).select("place", "row.*")
+
+
+def _laid_out_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Months of one year from facts that are partitioned by month and bucketed by order."""
+    place = new_folder(spark, "laid-out")
+    facts = files.lay_out(star_shop(spark, folder), place, f"facts_{place.rsplit('-', 1)[1]}", buckets=4)
+    return plain_types(sales.monthly_revenue(facts.shop("1995-03", "1996-02")))
+
+
 def _pack(spark: SparkSession, folder: str) -> DataFrame:
     """All evidence: forest, experiment, every view, forecast, anomalies, segments."""
     shop, forest = star_shop(spark, folder).keeping(written), _forest(spark, folder)
@@ -542,12 +557,16 @@ _add(
     {
         "S1": _raw_files, "S1_quarantine": _quarantined, "S2": _clean_files, "S2_columns": _clean_file_columns, "S3": _loaded,
         "S3_columns": _loaded_columns, "S4": _on_shop(files.row_counts), "S5": _result_file,
-        "S6": _view_names, "S7": _view_samples, "S8": _on_shop(_summary), "P6": _pack,
+        "S6": _view_names, "S7": _view_samples, "S8": _on_shop(_summary),
+        "S8_sample": _on_shop(_sample), "S3_period": _laid_out_period, "P6": _pack,
     },
     {
         **sql_cleaning.SOURCES,
         "S5": sql_views.VIEWS["A2"],
         "S6": " UNION ALL ".join(f"SELECT '{v.name}' AS view_name" for v in VIEWS.values()),
+        "S3_period": f"SELECT * FROM ({sql_views.VIEWS['A2']}) WHERE order_month BETWEEN DATE '1995-03-01' AND DATE '1996-02-01'",
+        "S8_sample": f"SELECT row_number() OVER (ORDER BY clv DESC, customer_id) AS place, * FROM ({sql_views.VIEWS['F2']}) "
+                     "ORDER BY place LIMIT 20",
         "S8": "SELECT count(*) AS row_count, 'customer_id,clv,total_orders,first_order,last_order,avg_order_value' "
               "AS columns, least(count(*), 20) AS sample_rows FROM buyer",
     },

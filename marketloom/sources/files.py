@@ -102,6 +102,55 @@ def load_tables(spark: SparkSession, csv_folder: str, parquet_folder: str, table
     return Shop.of_parquet(spark, parquet_folder)
 
 
+MONTH = "order_month"
+"""Column that laid-out facts are partitioned by: the order's month as yyyy-MM."""
+
+
+def lay_out(shop: Shop, folder: str, name: str, buckets: int) -> "LaidOut":
+    """S3: orders and items partitioned by the order's month and bucketed by order, once for all later runs.
+
+    ``buckets`` should make one bucket of one month a task's size; each becomes one file, because rows are dealt by the
+    buckets' own hash before they are written. Items learn their order's month here, in the only join that shuffles
+    them; items without an order and orders without a date go to the partition of no month and are kept. The tables
+    are ``<name>_orders`` and ``<name>_order_items`` of the session's catalogue, with files below ``folder``.
+    """
+    month = F.date_format("order_date", "yyyy-MM").alias(MONTH)
+    orders = shop.orders.select(*CLEAN["orders"].names, month)
+    # A repeated order id must not repeat its items.
+    months = shop.orders.groupBy("order_id").agg(F.min("order_date").alias("order_date")).select("order_id", month)
+    items = shop.order_items.join(months, "order_id", "left").select(*CLEAN["order_items"].names, MONTH)
+    for table, rows in (("orders", orders), ("order_items", items)):
+        dealt = rows.repartition(buckets, "order_id").write.partitionBy(MONTH).bucketBy(buckets, "order_id")
+        dealt.option("path", f"{folder}/{table}").saveAsTable(f"{name}_{table}")
+    return LaidOut(shop, name)
+
+
+class LaidOut:
+    """Facts laid out by ``lay_out``; ``shop`` reads them, whole or a period of them, beside the other tables."""
+
+    def __init__(self, shop: Shop, name: str):
+        self._shop, self._name = shop, name
+
+    def shop(self, first_month: str | None = None, last_month: str | None = None) -> Shop:
+        """The shop of the orders from ``first_month`` to ``last_month`` (yyyy-MM, both included) and their items.
+
+        Other months' files are not read. Without limits everything is there, also what has no month. Orders meet their
+        items, and items are added up per order, without a shuffle.
+        """
+
+        def read(table: str) -> DataFrame:
+            if table not in ("orders", "order_items"):
+                return self._shop.table(table)
+            rows = self._shop.spark.table(f"{self._name}_{table}")
+            if first_month is not None:
+                rows = rows.where(F.col(MONTH) >= first_month)
+            if last_month is not None:
+                rows = rows.where(F.col(MONTH) <= last_month)
+            return rows.select(*CLEAN[table].names)
+
+        return Shop(self._shop.spark, read)
+
+
 def row_counts(shop: Shop, tables=TABLES) -> DataFrame:
     """S4."""
     counts = [

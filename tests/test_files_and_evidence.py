@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql
-from marketloom.operators import evidence
+from marketloom.operators import base, evidence, sales
 from marketloom.operators.cleaning import Cleaning
 from marketloom.operators.ranking import written
 from marketloom.params import Params
@@ -64,6 +64,39 @@ def test_clean_csv_round_trip_and_bad_types(spark, tmp_path):
         files.read_clean_csv(spark, str(tmp_path / "bad"), "marketing_campaigns").collect()
 
 
+def test_laid_out_facts(spark, tmp_path, make_shop, capsys):
+    """A period reads its own months only; orders meet their items without a shuffle; nothing is lost on the way."""
+    stamps = {"O1": "2024-01-31 23:59:59", "O2": "2024-02-01 00:00:00", "O3": "2024-03-05 10:00:00", "O4": None}
+    orders = [{"order_id": o, "customer_id": "C1", "order_date": t, "order_status": "Completed"} for o, t in stamps.items()]
+    items = [
+        {"order_item_id": f"{o}-{n}", "order_id": o, "product_id": "P1", "quantity": 1, "unit_price": 2, "line_total": 2}
+        for o in [*stamps, "absent", None] for n in range(3)
+    ]
+    # The repeated order's items must not be repeated.
+    small = make_shop(orders=orders + orders[:1], order_items=items)
+    facts = files.lay_out(small, f"{tmp_path}/small", "small", buckets=3)
+    for table in ("orders", "order_items"):
+        assert sorted(map(repr, facts.shop().table(table).collect())) == sorted(map(repr, small.table(table).collect()))
+    ids = lambda shop: sorted({r.order_id for r in shop.order_items.collect()})
+    assert ids(facts.shop("2024-02", "2024-02")) == ["O2"] and ids(facts.shop(last_month="2024-02")) == ["O1", "O2"]
+    assert facts.shop("2025-01").orders.count() == 0
+
+    shop = star_shop(spark, FOLDER)
+    facts = files.lay_out(shop, f"{tmp_path}/facts", "facts", buckets=2)
+    whole = sales.monthly_revenue(shop).where("order_month between '1996-03-01' and '1996-05-01'").collect()
+    period = facts.shop("1996-03", "1996-05")
+    capsys.readouterr()
+    # Sizes are small here: without this the join would broadcast instead of using the buckets.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base.order_facts(period).explain("formatted")
+        assert sorted(sales.monthly_revenue(period).collect()) == sorted(whole) and len(whole) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert plan.count("PartitionFilters: [isnotnull(order_month") == 2 and "Exchange" not in plan
+
+
 def test_whole_run(spark, tmp_path):
     raw = RawTables(spark, FOLDER)
     for table in TABLES:
@@ -113,6 +146,10 @@ def test_summary_shows_missing_values_as_null(spark):
     row = evidence.result_summary(df).first()
     assert row.row_count == 2 and row.columns == ["a", "b"] and len(row["sample"]) == 2
     assert {"a": 1, "b": None} in [json.loads(s) for s in row["sample"]]
+    many = spark.createDataFrame([(k % 7, str(k)) for k in range(100)], "a int, b string").repartition(5)
+    row = evidence.result_summary(many, Params(sample_rows=30), ("-a",)).first()
+    expected = sorted(((k % 7, str(k)) for k in range(100)), key=lambda r: (-r[0], r[1]))[:30]
+    assert row.row_count == 100 and [tuple(json.loads(s).values()) for s in row["sample"]] == expected
 
 
 @pytest.mark.parametrize("budget", [0, 2, 40, 41, 100, 333, 10_000])
