@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Largest inner products become smallest Euclidean distances by one more component that gives all vectors the length of the
-longest. Each of ``TABLES`` tables cuts ``PROJECTIONS`` Gaussian projections into intervals; a tuple of intervals is a
-bucket. A query visits buckets in the order of the estimated chance that they hold a near neighbour, until these
-chances add up to ``SUCCESS`` and the buckets hold enough vectors. Buckets are scored apart, each with the queries
-that probe it; a large bucket is dealt into parts. The tables' best candidates are merged and ranked by exact products.
+longest. Each table cuts Gaussian projections, shifted at random, into intervals of one width; a tuple of
+intervals is a bucket, and there are more projections the more vectors there are. How a near neighbour's projections lie
+about those of its query is measured on a bounded sample, and so is the sum of chances up to which buckets must be
+visited to meet ``RECALL`` of such neighbours. A query visits buckets in the order of the estimated chance that they hold a
+near neighbour. Buckets are scored apart, each with the queries that probe it; a large bucket is dealt into parts. The
+tables' best candidates are merged and ranked by exact products.
 """
 
 from __future__ import annotations
@@ -21,36 +23,100 @@ NEIGHBOURS = 20
 EVERY = 20
 """Queries are the rows whose id this divides."""
 
-TABLES, PROJECTIONS = 2, 4
+TABLES = (1, 2, 3)
+"""Numbers of tables to choose from: the cheapest for the sample, at the same recall."""
+
 INTERVALS = 5
-"""Intervals per projection, equally filled for the sampled vectors; a table has at most INTERVALS^PROJECTIONS buckets."""
+"""Intervals per projection; the two outermost have no outer end."""
+
+BUCKET_VECTORS = 400
+"""Vectors that a bucket should hold, about: one projection more for every ``INTERVALS`` times as many vectors."""
+
+MOST_PROJECTIONS = 7
+"""From some 30 million vectors on buckets grow instead of their number. This costs time, not recall."""
+
+VISIT_COST = 300
+"""Sending a query to a bucket costs about as much as so many inner products."""
+
+RECALL = 0.97
+"""Share of the sampled near neighbours that the visited buckets must hold."""
 
-SUCCESS = 0.9
 FIT_VECTORS = 5_000
+PROBES = 400
+"""Sampled vectors that stand for queries when the tables are fitted."""
+
 PART_VECTORS = 4_096
-ENOUGH = 20
+PROBED_AT_ONCE = 1 << 20
+"""Chances of buckets that a task computes at a time."""
+
+ENOUGH = 4
 """Probed buckets hold at least so many vectors per neighbour asked for, or all."""
 
 
 class Tables:
-    """Projections, interval bounds and bucket sizes; fitted on a bounded sample, then used for every vector."""
+    """Projections, intervals, chances and bucket sizes; fitted on a bounded sample, then used for every vector."""
 
-    def __init__(self, sample: np.ndarray, longest: float, neighbours: int):
+    def __init__(self, sample: np.ndarray, longest: float, neighbours: int, vectors: int, tables: int, projections: int):
         rng = np.random.default_rng(5)
-        self.longest, self.success = longest, 1 - (1 - SUCCESS) ** (1 / TABLES) if TABLES > 1 else SUCCESS
-        self.success = max(self.success, SUCCESS * 0.9)
-        width = sample.shape[1]
-        self.axes = rng.standard_normal((TABLES, PROJECTIONS, width + 1))
+        self.longest, self.tables, self.projections = longest, tables, projections
+        numbers = np.arange(INTERVALS ** self.projections)
+        self.cells = numbers[:, None] // INTERVALS ** np.arange(self.projections) % INTERVALS
+        self.held = np.zeros((tables, len(numbers)), dtype=np.int64)
+        self.axes = rng.standard_normal((tables, projections, sample.shape[1] + 1))
         points = self.lifted(sample)
-        inner = np.linspace(0, 1, INTERVALS + 1)[1:-1]
-        self.bounds = np.quantile(np.einsum("tpd,nd->tpn", self.axes, points), inner, axis=2).transpose(1, 2, 0)
-        self.mean = np.einsum("tpd,d->tp", self.axes, points.mean(axis=0))
-        self.spread = np.einsum("tpd,nd->tpn", self.axes, points).std(axis=2) + 1e-9
-        # How close a neighbour of the asked rank is, on the sample: its rank there shrinks with the sample's share.
-        probes = points[:200] if len(points) > 200 else points
-        products = np.sort(self.asked(sample[:len(probes)]) @ points.T, axis=1)[:, ::-1]
-        self.nearness = float(np.clip(np.median(products[:, min(len(points) - 1, max(1, neighbours // 2))]), 0.05, 0.99))
-        self.counts: dict[tuple[int, int], int] = {}
+        projected = np.einsum("tpd,nd->tpn", self.axes, points)
+        low, high = np.quantile(projected, [0.05, 0.95], axis=2)
+        width = max(float((high - low).mean()), 1e-9) / (INTERVALS - 1)
+        # The middle of the sample's range, shifted by up to half an interval either way.
+        middle = (low + high) / 2 + (rng.random(low.shape) - 0.5) * width
+        self.bounds = middle[..., None] + width * (np.arange(1, INTERVALS) - INTERVALS / 2)
+        self.shift, self.spread = np.zeros(low.shape), np.full(low.shape, width)
+        self.nearness, self.success = 0.0, 1.0
+        self._fit(sample, points, max(2, round(neighbours * len(sample) / max(vectors, 1))))
+
+    @classmethod
+    def cheapest(cls, sample: np.ndarray, longest: float, neighbours: int, vectors: int) -> "Tables":
+        """Of some numbers of tables and projections those whose queries cost least, going by the sample."""
+        wanted = round(np.log(max(vectors, 1) / BUCKET_VECTORS) / np.log(INTERVALS))
+        few = sorted({int(np.clip(wanted + k, 1, MOST_PROJECTIONS)) for k in (-1, 0, 1)})
+        choices = [cls(sample, longest, neighbours, vectors, t, p) for t in TABLES for p in few]
+        costs = [c.cost(sample, vectors, neighbours) for c in choices]
+        return choices[int(np.argmin(costs))]
+
+    def cost(self, sample: np.ndarray, vectors: int, neighbours: int) -> float:
+        """Inner products that a query costs, on average over some sampled ones."""
+        own, kept = self.buckets(sample), self.held
+        self.held = np.stack([np.bincount(own[:, t], minlength=len(self.cells)) for t in range(self.tables)])
+        total, queries = 0.0, sample[:PROBES // 4]
+        for _, table, chosen in self.probes(queries, ENOUGH * neighbours * len(sample) // max(vectors, 1)):
+            total += self.held[table][chosen].sum() * vectors / len(sample) + VISIT_COST * len(chosen)
+        self.held = kept
+        return total / len(queries)
+
+    def _fit(self, sample: np.ndarray, points: np.ndarray, rank: int) -> None:
+        """Measures near neighbours of sampled queries; ``rank`` is the asked rank's counterpart within the sample."""
+        asked = np.arange(min(PROBES, len(sample)))
+        rank = min(rank, len(sample) - 1)
+        if rank < 1:
+            return
+        queries = self.asked(sample[asked])
+        products = queries @ points.T
+        products[asked, asked] = -np.inf
+        near = np.argpartition(-products, rank - 1, axis=1)[:, :rank]
+        self.nearness = float(np.median(np.take_along_axis(products, near, axis=1)))
+        there = np.einsum("tpd,nkd->nktp", self.axes, points[near])
+        off = there - (np.einsum("tpd,nd->ntp", self.axes, queries) * self.nearness)[:, None]
+        self.shift, self.spread = off.mean(axis=(0, 1)), off.std(axis=(0, 1)) + 1e-9
+        # Per neighbour the least sum of chances, over the tables, of the buckets that come before its own.
+        own, needed = self.buckets(sample[near.ravel()]).reshape(*near.shape, self.tables), np.inf
+        for k in range(self.tables):
+            chance = self.chances(queries, k)
+            order = np.argsort(-chance, axis=1, kind="stable")
+            before = np.empty_like(chance)
+            sums = np.cumsum(np.take_along_axis(chance, order, axis=1), axis=1)
+            np.put_along_axis(before, order, np.hstack([np.zeros((len(sums), 1)), sums[:, :-1]]), axis=1)
+            needed = np.minimum(needed, np.take_along_axis(before, own[:, :, k], axis=1))
+        self.success = float(np.quantile(needed, RECALL)) + 1e-12
 
     def lifted(self, vectors: np.ndarray) -> np.ndarray:
         scaled = vectors / self.longest
@@ -65,23 +131,24 @@ class Tables:
         """Bucket number per vector and table."""
         projected = np.einsum("tpd,nd->ntp", self.axes, self.lifted(vectors))
         cells = (projected[..., None] >= self.bounds[None]).sum(axis=3)
-        return cells @ (INTERVALS ** np.arange(PROJECTIONS))
+        return cells @ (INTERVALS ** np.arange(self.projections))
+
+    def chances(self, queries: np.ndarray, table: int) -> np.ndarray:
+        """Per lifted query and bucket the estimated chance that the bucket holds a near neighbour."""
+        centre = np.einsum("pd,nd->np", self.axes[table], queries) * self.nearness + self.shift[table]
+        upto = _normal((self.bounds[table][None] - centre[..., None]) / self.spread[table][None, :, None])
+        edge = np.zeros_like(upto[..., :1])
+        chance = np.diff(np.concatenate([edge, upto, edge + 1], axis=2), axis=2)
+        success = np.ones((len(queries), len(self.cells)))
+        for p in range(self.projections):
+            success *= chance[:, p][:, self.cells[:, p]]
+        return success
 
     def probes(self, queries: np.ndarray, enough: int) -> Iterator[tuple[int, int, np.ndarray]]:
         """``(query, table, buckets)``: buckets in order of estimated success, as many as are needed."""
-        numbers = np.arange(INTERVALS ** PROJECTIONS)
-        cells = numbers[:, None] // INTERVALS ** np.arange(PROJECTIONS) % INTERVALS
-        centre = np.einsum("tpd,nd->ntp", self.axes, self.asked(queries)) * self.nearness
-        # A neighbour's projection: the query's share of it, and for the rest whatever is usual.
-        scale = np.sqrt(1 - self.nearness ** 2)
-        centre, spread = centre + self.mean * (1 - self.nearness), self.spread * scale + 1e-9
-        upto = _normal((self.bounds[None] - centre[..., None]) / spread[None, ..., None])
-        chance = np.diff(np.concatenate([np.zeros_like(upto[..., :1]), upto, np.ones_like(upto[..., :1])], axis=3), axis=3)
-        for table in range(TABLES):
-            held = np.array([self.counts.get((table, int(b)), 0) for b in numbers])
-            success = np.ones((len(queries), len(numbers)))
-            for p in range(PROJECTIONS):
-                success *= chance[:, table, p][:, cells[:, p]]
+        lifted = self.asked(queries)
+        for table in range(self.tables):
+            held, success = self.held[table], self.chances(lifted, table)
             order = np.argsort(-success, axis=1, kind="stable")
             for q in range(len(queries)):
                 ranked = order[q]
@@ -125,27 +192,29 @@ def nearest(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY
     rows = rows.where(F.size("vector") == width["width"])
     longest = rows.agg(F.max(F.sqrt(exact_product("vector", "vector")))).first()[0]
     sample = np.array([r[0] for r in sampled(rows, F.col("vec_id"), FIT_VECTORS).select("vector").limit(2 * FIT_VECTORS).collect()] or [rows.first()["vector"]])
-    tables = Tables(sample, longest, neighbours)
+    tables = Tables.cheapest(sample, longest, neighbours, rows.count())
     first = session.sparkContext.broadcast(tables)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 found = first.value.buckets(np.stack(batch["vector"]))
-                for table in range(TABLES):
+                for table in range(first.value.tables):
                     yield pd.DataFrame({"table": table, "bucket": found[:, table], "vec_id": batch["vec_id"], "vector": batch["vector"]})
 
     schema = "table int, bucket long, vec_id long, vector array<double>"
     indexed = stored(rows.mapInPandas(hashed, schema), "vectors")
-    # One row per table and bucket: at most TABLES * INTERVALS^PROJECTIONS.
+    # One row per table and bucket: at most three times INTERVALS^MOST_PROJECTIONS.
     counts = stored(indexed.groupBy("table", "bucket").agg(F.count("*").alias("n")), "buckets")
-    tables.counts = {(r[0], r[1]): r[2] for r in counts.collect()}
+    for table, bucket, held in counts.collect():
+        tables.held[table, bucket] = held
     ready = session.sparkContext.broadcast(tables)
 
     def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for k in range(0, len(batch), 256):
-                part = batch.iloc[k:k + 256]
+            step = max(1, PROBED_AT_ONCE // len(ready.value.cells))
+            for k in range(0, len(batch), step):
+                part = batch.iloc[k:k + step]
                 ids, values = part["vec_id"].to_numpy(), part["vector"].to_numpy()
                 found = list(ready.value.probes(np.stack(values), ENOUGH * neighbours))
                 sizes = [len(b) for _, _, b in found]
@@ -166,6 +235,7 @@ def nearest(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY
     def best(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found, vectors = [], right.sort_values("vec_id", kind="stable")
         ids, matrix = vectors["vec_id"].to_numpy(), np.stack(vectors["vector"]) if len(vectors) else None
+        longest_here = np.linalg.norm(matrix, axis=1).max() if len(vectors) else 0.0
         for k in range(0, len(left) if len(ids) else 0, 512):
             part = left.iloc[k:k + 512]
             queries = part["query_id"].to_numpy()
@@ -175,7 +245,7 @@ def nearest(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY
             # The last place with all that equal it, up to rounding: exact products decide later.
             take = min(neighbours, len(ids))
             least = -np.partition(-scores, take - 1, axis=1)[:, take - 1]
-            slack = 1e-9 * np.clip(np.abs(least), 1.0, 1e300)
+            slack = 1e-12 * np.linalg.norm(np.stack(part["query"]), axis=1) * longest_here
             clear = (scores > (least + slack)[:, None]) & ~own
             tied = (scores >= (least - slack)[:, None]) & ~clear & ~own
             # Ties beyond the places left can't be among the nearest of this part: smaller ids come first.
