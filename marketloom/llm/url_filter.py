@@ -1,8 +1,10 @@
 """URL filters: host and path rules, and boosted trees on lexical features where no rule fits.
 
 Everything is SQL functions and Spark's own tree learner; nothing runs in Python on the executors. Urls that a rule
-decides are the labelled ones: suffix statistics count all of them, the trees learn from a bounded sample and judge the
-rest.
+decides are the labelled ones: statistics of suffixes, directories and sites count all of them, the trees learn from a
+bounded sample and judge the rest. A url that the trees learn from meets statistics without its own fold, so that its own
+label is not among its features; half of the hosts form whole folds, so the trees also learn what to do with sites that
+no rule knows.
 """
 
 from __future__ import annotations
@@ -40,9 +42,17 @@ RULES = (
 
 FEATURES = (
     "url_length", "host_length", "path_length", "host_labels", "path_depth", "digit_ratio", "hyphens", "entropy",
-    "parameters", "has_fragment", "secure", "suffix_rate", "segment_rate", "suffix_seen",
+    "parameters", "has_fragment", "secure", "suffix_rate", "suffix_seen", "directory_rate", "directory_seen", "segment_rate",
+    "segment_seen",
 )
 
+KEYS = ("suffix", "directory", "segment")
+"""What statistics are kept of: the host's last label, the path's first part, and that part on that host."""
+
+FOLDS = 5
+STEPS = 20
+"""Rates are told in so many steps, numbers by their magnitude: exact ones would give away which fold a url is in."""
+
 
 def with_parts(pages: DataFrame, url: str = "url") -> DataFrame:
     """``pages`` with ``host`` (A-Z lower-cased) and ``path``; both empty without ``://`` or for a null url."""
@@ -80,10 +90,12 @@ def _entropy(text: Column) -> Column:
 
 
 def with_lexical(parts: DataFrame, url: str = "url") -> DataFrame:
-    """Adds the features that a url has by itself, and the keys of its suffix statistics."""
+    """Adds the features that a url has by itself, the keys of its statistics and its ``fold``."""
     text = F.coalesce(F.col(url), F.lit(""))
     query = F.regexp_extract(text, r"\?([^#]*)", 1)
     size = F.length(text)
+    first = F.coalesce(F.get(F.split("path", "/"), F.lit(1)), F.lit(""))
+    by_host = F.pmod(F.xxhash64("host"), F.lit(2 * FOLDS))
     return parts.withColumns({
         "url_length": size.cast("double"),
         "host_length": F.length("host").cast("double"),
@@ -97,23 +109,34 @@ def with_lexical(parts: DataFrame, url: str = "url") -> DataFrame:
         "has_fragment": F.when(F.instr(text, "#") > 0, 1.0).otherwise(0.0),
         "secure": F.when(F.startswith(text, F.lit("https:")), 1.0).otherwise(0.0),
         "suffix": F.substring_index("host", ".", -1),
-        "segment": F.concat_ws("/", F.substring_index("host", ".", -2), F.get(F.split("path", "/"), F.lit(1))),
+        "directory": first,
+        "segment": F.concat_ws("/", F.col("host"), first),
+        "fold": F.when(by_host < FOLDS, by_host).otherwise(FOLDS + F.pmod(F.xxhash64("page_id", text), F.lit(FOLDS))),
     })
 
 
-def _rates(labelled: DataFrame, key: str) -> DataFrame:
-    """Per value of ``key`` the smoothed share of blocked urls; added up on the map side, so a hot suffix is one row."""
-    return labelled.groupBy(key).agg(
-        ((F.sum("label") + 0.5) / (F.count("*") + 1)).alias(f"{key}_rate"), F.count("*").cast("double").alias(f"{key}_seen")
-    )
+def _counts(labelled: DataFrame, key: str, *by: str) -> DataFrame:
+    """Per value of ``key`` the blocked and all urls; added up on the map side, so a hot suffix is one row."""
+    return labelled.groupBy(key, *by).agg(F.sum("label").alias("blocked"), F.count("*").alias("seen"))
 
 
-def with_suffix_statistics(urls: DataFrame, labelled: DataFrame) -> DataFrame:
-    return (
-        urls.join(_rates(labelled, "suffix"), "suffix", "left")
-        .join(_rates(labelled, "segment").drop("segment_seen"), "segment", "left")
-        .fillna({"suffix_rate": 0.5, "segment_rate": 0.5, "suffix_seen": 0.0})
-    )
+def with_statistics(urls: DataFrame, labelled: DataFrame, own_fold: bool = True) -> DataFrame:
+    """Adds the smoothed share of blocked urls, and their number, per key; without ``own_fold`` those of the other folds."""
+    for key in KEYS:
+        whole = _counts(labelled, key)
+        if own_fold:
+            urls = urls.join(whole, key, "left")
+        else:
+            folds = _counts(labelled, key, "fold").withColumnsRenamed({"blocked": "own_blocked", "seen": "own_seen"})
+            urls = urls.join(whole, key, "left").join(folds, [key, "fold"], "left").withColumns({
+                f: F.col(f) - F.coalesce(f"own_{f}", F.lit(0)) for f in ("blocked", "seen")
+            })
+        seen = F.coalesce("seen", F.lit(0)).cast("double")
+        rate = (F.coalesce("blocked", F.lit(0.0)) + 0.5) / (seen + 1)
+        urls = urls.withColumns({
+            f"{key}_rate": F.floor(rate * STEPS + 0.5) / STEPS, f"{key}_seen": F.floor(F.log2(seen + 1)).cast("double"),
+        }).drop("blocked", "seen", "own_blocked", "own_seen")
+    return urls
 
 
 def train(labelled: DataFrame, trees: int = 20, depth: int = 4):
@@ -128,7 +151,7 @@ def judge(
     """Per page: ``page_id, host, path, rule, verdict``.
 
     The verdict is the longest fitting rule's, else that of trees trained on at most about ``train_rows`` urls that rules
-    decide (chosen by a hash of the page and url); the statistics of suffixes and segments are those of all such urls. Null urls, urls without ``://`` and empty ones have empty host and path, no
+    decide (chosen by a hash of the page and url); the statistics are those of all such urls. Null urls, urls without ``://`` and empty ones have empty host and path, no
     rule, and are judged by the trees like the rest. Repeated rows are judged alike. Without labelled urls of both
     verdicts nothing can be learned: the rest gets the only labelled verdict, or ``allow``. Other columns are ignored.
     """
@@ -140,8 +163,8 @@ def judge(
         judged = lexical.withColumn("verdict", F.coalesce("rule_verdict", learned))
     else:
         rows = sampled(labelled, F.struct("page_id", "url"), train_rows)
-        model = train(with_suffix_statistics(rows, labelled).persist())
-        rest = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_suffix_statistics(lexical, labelled))
+        model = train(with_statistics(rows, labelled, own_fold=False).persist())
+        rest = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_statistics(lexical, labelled))
         judged = model.transform(rest).withColumn(
             "verdict", F.coalesce("rule_verdict", F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
         )
