@@ -23,8 +23,10 @@ from marketloom.llm.common import sampled, stored
 KEYWORDS = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "api-key", "access_key", "auth", "bearer", "credential")
 FORMATS = (r"AKIA[0-9A-Z]{16}", r"ghp_[0-9A-Za-z]{36}", r"xox[abp]-[0-9A-Za-z-]{10,}", r"sk_live_[0-9A-Za-z]{16,}")
 
-_assigned = re.compile(r"(?i)\b(?:" + "|".join(KEYWORDS) + r")\b[\"']?\s{0,3}(?:=|:|is)\s{0,3}[\"']?([^\s\"',;<>]{6,512})")
-_bare = re.compile(r"[A-Za-z0-9+/_\-]{16,512}={0,2}")
+# A keyword begins a name or a part of it: after anything but a letter, or by a capital after a small letter.
+_begin = r"(?:(?<![^\W\d_])|(?<=[a-z])(?=[A-Z]))"
+_assigned = re.compile(_begin + "(?i:" + "|".join(KEYWORDS) + r")\b[\"']?\s{0,3}(?:=|:|(?i:is))\s{0,3}[\"']?([^\s\"',;<>]{6,})")
+_bare = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
 _format = re.compile("|".join(f"(?:{f})" for f in FORMATS))
 _word = re.compile(r"[^\W\d_]+")
 
@@ -134,8 +136,7 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float
 
     ``findings``: reviewed findings ``doc_id, begin, is_secret``. Without both kinds of labels nothing can be learned and the
     seed labels decide, 0 where there is none. Null and empty texts have no findings, repeated rows the same ones each;
-    a null ``doc_id`` is kept. Candidates have at most 512 characters; longer runs are cut into several. Columns besides
-    ``doc_id`` and ``text`` are ignored.
+    a null ``doc_id`` is kept. Candidates are whole values of any length. Columns besides ``doc_id`` and ``text`` are ignored.
     """
     rows = stored(candidates(docs), "secret-candidates")
     if findings is None:
