@@ -87,7 +87,8 @@ class Tree:
         self.points, self.taken, self.target = points, taken, target
         self.root = Node(0, len(taken))
         level = [self.root]
-        while level[0].leaves > 1:
+        # Halves differ by one leaf unless the number is a power of two, so some nodes are done a level earlier.
+        while level := [node for node in level if node.leaves > 1]:
             self._split(level)
             level = [half for node in level for half in node.halves]
 

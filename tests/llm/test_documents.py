@@ -64,6 +64,14 @@ def test_shards(docs, none):
     assert all(sizes[r.doc_id] == (r.size, r.text_crc32) for r in found)
 
 
+@pytest.mark.parametrize("shards", [1, 3, 5, 6, 7])
+def test_shards_of_any_number_are_even(spark, shards):
+    data = [(k, f"{k} " * (k % 50 + 1), "de", "b" if k % 3 else "c") for k in range(3_000)]
+    found = sharding.sharded(spark.createDataFrame(data, "doc_id long, text string, lang string, source string"), shards)
+    sums = {r[0]: r[1] for r in found.groupBy("shard").sum("size").collect()}
+    assert sorted(sums) == list(range(shards)) and max(sums.values()) <= 1.05 * min(sums.values())
+
+
 def test_shards_are_even_and_split_a_giant_group(spark):
     data = [(k, "x" * 300, "en", "a") for k in range(600)] + [(k, f"{k} " * (k % 50 + 1), "de", "b") for k in range(600, 2000)]
     found = sharding.sharded(spark.createDataFrame(data, "doc_id long, text string, lang string, source string"), 8)
