@@ -42,12 +42,13 @@ RULES = (
 
 FEATURES = (
     "url_length", "host_length", "path_length", "host_labels", "path_depth", "digit_ratio", "hyphens", "entropy",
-    "parameters", "has_fragment", "secure", "suffix_rate", "suffix_seen", "directory_rate", "directory_seen", "segment_rate",
-    "segment_seen",
+    "parameters", "has_fragment", "secure", "suffix_rate", "suffix_seen", "directory_rate", "directory_seen", "pair_rate",
+    "pair_seen", "segment_rate", "segment_seen",
 )
 
-KEYS = ("suffix", "directory", "segment")
-"""What statistics are kept of: the host's last label, the path's first part, and that part on that host."""
+KEYS = {"suffix": None, "directory": None, "pair": "directory", "segment": "pair"}
+"""What statistics are kept of: the host's last label, the path's first part, that part under that label, and on that host.
+Each with the coarser one whose rate stands in where nothing is known, and is one url's worth of evidence elsewhere."""
 
 FOLDS = 5
 STEPS = 20
@@ -110,6 +111,7 @@ def with_lexical(parts: DataFrame, url: str = "url") -> DataFrame:
         "secure": F.when(F.startswith(text, F.lit("https:")), 1.0).otherwise(0.0),
         "suffix": F.substring_index("host", ".", -1),
         "directory": first,
+        "pair": F.concat_ws("/", F.substring_index("host", ".", -1), first),
         "segment": F.concat_ws("/", F.col("host"), first),
         "fold": F.when(by_host < FOLDS, by_host).otherwise(FOLDS + F.pmod(F.xxhash64("page_id", text), F.lit(FOLDS))),
     })
@@ -122,7 +124,7 @@ def _counts(labelled: DataFrame, key: str, *by: str) -> DataFrame:
 
 def with_statistics(urls: DataFrame, labelled: DataFrame, own_fold: bool = True) -> DataFrame:
     """Adds the smoothed share of blocked urls, and their number, per key; without ``own_fold`` those of the other folds."""
-    for key in KEYS:
+    for key, coarser in KEYS.items():
         whole = _counts(labelled, key)
         if own_fold:
             urls = urls.join(whole, key, "left")
@@ -132,11 +134,12 @@ def with_statistics(urls: DataFrame, labelled: DataFrame, own_fold: bool = True)
                 f: F.col(f) - F.coalesce(f"own_{f}", F.lit(0)) for f in ("blocked", "seen")
             })
         seen = F.coalesce("seen", F.lit(0)).cast("double")
-        rate = (F.coalesce("blocked", F.lit(0.0)) + 0.5) / (seen + 1)
+        expected = F.col(f"{coarser}_rate") if coarser else F.lit(0.5)
         urls = urls.withColumns({
-            f"{key}_rate": F.floor(rate * STEPS + 0.5) / STEPS, f"{key}_seen": F.floor(F.log2(seen + 1)).cast("double"),
+            f"{key}_rate": (F.coalesce("blocked", F.lit(0.0)) + expected) / (seen + 1),
+            f"{key}_seen": F.floor(F.log2(seen + 1)).cast("double"),
         }).drop("blocked", "seen", "own_blocked", "own_seen")
-    return urls
+    return urls.withColumns({f"{key}_rate": F.floor(F.col(f"{key}_rate") * STEPS + 0.5) / STEPS for key in KEYS})
 
 
 def train(labelled: DataFrame, trees: int = 20, depth: int = 4):
