@@ -511,7 +511,7 @@ def _sample(shop: Shop) -> DataFrame:
 def _laid_out_period(spark: SparkSession, folder: str) -> DataFrame:
     """Months of one year from facts that are partitioned by month and bucketed by order."""
     place = new_folder(spark, "laid-out")
-    facts = files.lay_out(star_shop(spark, folder), place, f"facts_{place.rsplit('-', 1)[1]}", buckets=4)
+    facts = files.lay_out(star_shop(spark, folder), place, f"facts_{place.rsplit('-', 1)[1]}")
     return plain_types(sales.monthly_revenue(facts.shop("1995-03", "1996-02")))
 
 

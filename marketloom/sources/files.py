@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -106,22 +107,30 @@ MONTH = "order_month"
 """Column that laid-out facts are partitioned by: the order's month as yyyy-MM."""
 
 
-def lay_out(shop: Shop, folder: str, name: str, buckets: int) -> "LaidOut":
+ROWS_PER_BUCKET = 5_000_000
+"""Items of all months in a bucket, unless a number of buckets is given: a reading task has one bucket of its months."""
+
+
+def lay_out(shop: Shop, folder: str, name: str, buckets: int | None = None) -> "LaidOut":
     """S3: orders and items partitioned by the order's month and bucketed by order, once for all later runs.
 
-    ``buckets`` should make one bucket of one month a task's size; each becomes one file, because rows are dealt by the
-    buckets' own hash before they are written. Items learn their order's month here, in the only join that shuffles
+    ``buckets`` is the number of buckets, by the number of items if not given. One bucket of one month becomes one file,
+    because rows are dealt by month and the buckets' own hash before they are written; a writing task holds a few such files'
+    rows, however large the tables. Items learn their order's month here, in the only join that shuffles
     them; items without an order and orders without a date go to the partition of no month and are kept. The tables
     are ``<name>_orders`` and ``<name>_order_items`` of the session's catalogue, with files below ``folder``.
     """
+    if buckets is None:
+        buckets = max(4, math.ceil(shop.order_items.count() / ROWS_PER_BUCKET))
     month = F.date_format("order_date", "yyyy-MM").alias(MONTH)
     orders = shop.orders.select(*CLEAN["orders"].names, month)
     # A repeated order id must not repeat its items.
     months = shop.orders.groupBy("order_id").agg(F.min("order_date").alias("order_date")).select("order_id", month)
     items = shop.order_items.join(months, "order_id", "left").select(*CLEAN["order_items"].names, MONTH)
     for table, rows in (("orders", orders), ("order_items", items)):
-        dealt = rows.repartition(buckets, "order_id").write.partitionBy(MONTH).bucketBy(buckets, "order_id")
-        dealt.option("path", f"{folder}/{table}").saveAsTable(f"{name}_{table}")
+        dealt = rows.repartition(MONTH, F.pmod(F.hash("order_id"), F.lit(buckets)))
+        stored = dealt.write.partitionBy(MONTH).bucketBy(buckets, "order_id")
+        stored.option("path", f"{folder}/{table}").saveAsTable(f"{name}_{table}")
     return LaidOut(shop, name)
 
 

@@ -210,3 +210,18 @@ def test_malformed_records(spark, tmp_path):
     assert {r.text: r.reason for r in found.collect()} == bad
     assert {r.table_name for r in found.collect()} == {"payments"}
     assert all(r.file.endswith("one.csv") for r in found.collect())
+
+
+def test_laid_out_by_many_tasks(spark, tmp_path):
+    """Rows are written by month and bucket, not by bucket alone, and still as one file for each."""
+    # Sizes are small here: without this one task would get all parts.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.lay_out(star_shop(spark, FOLDER), f"{tmp_path}/facts", "dealt_facts", buckets=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for table in ("orders", "order_items"):
+        stored = list((tmp_path / "facts" / table).glob("order_month=*/*.parquet"))
+        assert len({f.parent for f in stored}) == len(stored)
+        # A file's name begins with part- and its task.
+        assert len({f.name.split("-")[1] for f in stored}) > 1
