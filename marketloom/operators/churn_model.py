@@ -25,6 +25,9 @@ FEATURES = (
 CLASSES = ("Active", "Churned")
 RISK_BANDS = ("Low Risk", "Medium Risk", "High Risk")
 
+SCORED_ROWS_PER_PART = 20_000
+"""Rows that a task scores: they are few bytes but much work, so parts by size would be too few and uneven."""
+
 
 # ---- Features and label --------------------------------------------------------------------------------
 
@@ -108,7 +111,9 @@ class ChurnForest:
     model: RandomForestClassificationModel
 
     def scored(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with predicted class and probability of churn."""
+        """``rows``, one per customer, with predicted class and probability of churn; they are counted first."""
+        parts = max(1, math.ceil(rows.count() / SCORED_ROWS_PER_PART))
+        rows = rows.repartition(parts, "customer_id")
         return self.model.transform(_assembled(rows)).select(
             *rows.columns, F.col("prediction").cast("int").alias("prediction"),
             vector_to_array("probability")[1].alias("churn_probability"),
@@ -140,9 +145,10 @@ def churn_forest(shop: Shop, params: Params = DEFAULTS) -> ChurnForest:
     # rows only. Each tree level is one pass, so tiny partitions would cost more than they give.
     parts = max(1, math.ceil(train.count() / params.forest_rows_per_part))
     train = train.repartition(parts, "customer_id").sortWithinPartitions("customer_id")
+    # Without cached node ids every level walks every row down every tree again from its root.
     forest = RandomForestClassifier(
         numTrees=params.forest_trees, maxDepth=params.forest_depth, seed=params.seed, labelCol="churned",
-        weightCol="weight", maxMemoryInMB=1024,
+        weightCol="weight", maxMemoryInMB=1024, cacheNodeIds=True,
     )
     return ChurnForest(features, split, forest.fit(_assembled(train)))
 

@@ -132,3 +132,21 @@ def test_priority_list_is_above_the_median(spark):
     everyone = banded.toPandas()
     assert (listed.risk_segment == "High Risk").all()
     assert (listed.total_spend.astype(float) > everyone.total_spend.astype(float).median()).all()
+
+
+def test_forest_caches_node_ids_and_deals_scoring(spark, monkeypatch):
+    """Cached node ids leave the trees as they are; scoring is dealt by rows, not by the bytes of the stored features."""
+    real, given = churn_model.RandomForestClassifier, []
+
+    def fitted(**more):
+        monkeypatch.setattr(churn_model, "RandomForestClassifier", lambda **options: given.append(options) or real(**options | more))
+        return churn_model.churn_forest(star_shop(spark, FOLDER), Params(forest_trees=20))
+
+    cached, plain = fitted(), fitted(cacheNodeIds=False)
+    assert given[0]["cacheNodeIds"]
+    trees = lambda forest: [t.toDebugString.split("\n", 1)[1] for t in forest.model.trees]
+    assert trees(cached) == trees(plain)
+    monkeypatch.setattr(churn_model, "SCORED_ROWS_PER_PART", 10)
+    scored = cached.scored(cached.features)
+    assert scored.rdd.getNumPartitions() == -(-cached.features.count() // 10)
+    assert scored.count() == cached.features.count()
