@@ -46,6 +46,10 @@ def _order_facts(shop: Shop) -> DataFrame:
 
 
 def customer_facts(shop: Shop) -> DataFrame:
+    return shop.shared("customer-facts", lambda: _customer_facts(shop))
+
+
+def _customer_facts(shop: Shop) -> DataFrame:
     """One row per customer with completed items; the net total, orders and dates."""
     return order_facts(shop).groupBy("customer_id").agg(
         F.sum("net").cast("decimal(28,6)").alias("total_spend"),
@@ -78,7 +82,8 @@ def _product_totals(shop: Shop) -> DataFrame:
 
 def last_completed_day(shop: Shop) -> Column:
     """Newest completed order day, as a scalar subquery that Spark runs once."""
-    return completed_orders(shop).agg(F.max(F.to_date("order_date"))).scalar()
+    newest = F.max(F.to_date("order_date")).alias("last_day")
+    return shop.shared("last-day", lambda: completed_orders(shop).agg(newest)).scalar()
 
 
 def analysis_day(shop: Shop, params: Params = DEFAULTS) -> Column:

@@ -22,8 +22,13 @@ def reached(stage: str) -> Column:
     return F.max((F.col("event_name") == stage).cast("int")).alias(stage)
 
 
+def visits(shop: Shop) -> DataFrame:
+    """One row per session and customer with the stages reached."""
+    return shop.shared("visits", lambda: known_sessions(shop).groupBy("session_id", "customer_id").agg(*[reached(s) for s in STAGES]))
+
+
 def stage_totals(shop: Shop) -> DataFrame:
-    sessions = known_sessions(shop).groupBy("session_id").agg(*[reached(s) for s in STAGES])
+    sessions = visits(shop).groupBy("session_id").agg(*[F.max(s).alias(s) for s in STAGES])
     return sessions.agg(*[F.sum(s).alias(s) for s in STAGES])
 
 
@@ -47,11 +52,8 @@ def step_conversion(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 def _conversion_by(shop: Shop, attribute: str) -> DataFrame:
     """Events shrink to one row per session and customer before the customers are joined."""
-    sessions = known_sessions(shop).groupBy("session_id", "customer_id").agg(
-        reached("page_view"), reached("purchase")
-    )
     per_session = (
-        sessions.join(shop.customers.select("customer_id", attribute), "customer_id")
+        visits(shop).join(shop.customers.select("customer_id", attribute), "customer_id")
         .groupBy("session_id", attribute)
         .agg(F.max("page_view").alias("page_view"), F.max("purchase").alias("purchase"))
     )

@@ -16,8 +16,17 @@ def channel_customers(shop: Shop) -> DataFrame:
     )
 
 
+def channel_totals(shop: Shop) -> DataFrame:
+    return shop.shared("channel-totals", lambda: shop.marketing_campaigns.groupBy("channel").agg(
+        F.sum("spend").alias("total_spend"),
+        F.sum("impressions").alias("total_impressions"),
+        F.sum("clicks").alias("total_clicks"),
+        F.sum("conversions").alias("total_conversions"),
+    ))
+
+
 def acquisition_cost(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
-    spend = shop.marketing_campaigns.groupBy("channel").agg(F.sum("spend").alias("total_spend"))
+    spend = channel_totals(shop).select("channel", "total_spend")
     return spend.join(channel_customers(shop), "channel").withColumn(
         "cac", ratio(F.col("total_spend"), F.col("new_customers"), 2)
     )
@@ -35,9 +44,9 @@ def lifetime_value(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 def channel_sales(shop: Shop) -> DataFrame:
     """Revenue and buyers per channel; orders are added up per customer before the customers are joined."""
     channels = shop.customers.select("customer_id", F.col("acquisition_channel").alias("channel"))
-    return customer_facts(shop).join(channels, "customer_id").groupBy("channel").agg(
+    return shop.shared("channel-sales", lambda: customer_facts(shop).join(channels, "customer_id").groupBy("channel").agg(
         F.sum("total_spend").alias("attributed_revenue"), F.count("*").alias("buyers")
-    )
+    ))
 
 
 def value_to_cost(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
@@ -53,14 +62,8 @@ def value_to_cost(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
 
 
 def channel_performance(shop: Shop, params: Params = DEFAULTS) -> DataFrame:
-    totals = shop.marketing_campaigns.groupBy("channel").agg(
-        F.sum("spend").alias("total_spend"),
-        F.sum("impressions").alias("total_impressions"),
-        F.sum("clicks").alias("total_clicks"),
-        F.sum("conversions").alias("total_conversions"),
-    )
     spend, clicks = F.col("total_spend"), F.col("total_clicks")
-    return totals.join(channel_sales(shop), "channel", "left").select(
+    return channel_totals(shop).join(channel_sales(shop), "channel", "left").select(
         "channel", "total_spend", "total_impressions", "total_clicks", "total_conversions",
         percent(clicks, F.col("total_impressions"), 3).alias("ctr_pct"),
         ratio(spend, clicks, 2).alias("cpc"),

@@ -527,7 +527,7 @@ def _pack(spark: SparkSession, folder: str) -> DataFrame:
     sections = {
         "ml_predictions": {
             "model_evidence": lambda: order(_evidence(banded), ("item",)),
-            "roc_auc": lambda: churn_model.roc_auc(forest.test_predictions()),
+            "roc_auc": lambda: churn_model.roc_auc(written(forest.test_predictions(), "test-scores")),
         },
         "ab_testing": {"test_summary": lambda: order(experiments.test_summary(shop), ("experiment_id",))},
         "sql_analytics": {v.name: (lambda i=i: catalogue.view(shop, i)) for i, v in VIEWS.items()},
