@@ -15,9 +15,10 @@ DATE_SPELLINGS = (
 
 def parse_timestamp(text: Column) -> Column:
     """ISO date or date-time, yyyy/MM/dd or MM/dd/yyyy; anything else gives null instead of an error."""
+    respelled = text
     for pattern, iso in DATE_SPELLINGS:
-        text = F.regexp_replace(text, pattern, iso)
-    return text.try_cast("timestamp_ntz")
+        respelled = F.regexp_replace(respelled, pattern, iso)
+    return F.when(text.contains("/"), respelled).otherwise(text).try_cast("timestamp_ntz")
 
 
 def month_of(day: Column) -> Column:

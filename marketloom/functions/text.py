@@ -16,13 +16,16 @@ def missing_to_null(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def title_case(text: Column) -> Column:
-    """Upper case after every non-letter, lower case elsewhere: ``o'neil`` gives ``O'Neil``."""
+    """Upper case after every non-letter, lower case elsewhere: ``o'neil`` gives ``O'Neil``.
+
+    Texts of plain letters and blanks, the usual ones, need no search for runs of letters.
+    """
     runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(text.rlike("^[A-Za-z ]*$"), F.initcap(text)).otherwise(F.array_join(F.transform(runs, F.initcap), ""))
 
 
 def null_if_in(text: Column, *values: str) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
@@ -16,6 +17,7 @@ from marketloom.functions.text import null_if_in, strip, title_case
 from marketloom.operators.base import UNKNOWN_SESSION
 from marketloom.operators.ranking import exact_percentiles
 from marketloom.schemas import AMOUNT, CLEAN, FRACTION, MONEY, TABLES
+from marketloom.session import side_by_side
 from marketloom.shop import Shop
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -51,11 +53,14 @@ def drop_repeated_rows(df: DataFrame) -> DataFrame:
 
 
 def keep_first(key: str) -> Rule:
-    """Per key the first row of the file. Spark limits each map task to one row per key before the shuffle."""
+    """Per key the first row of the file. Spark limits each map task to one row per key before the shuffle.
+
+    Rows are sorted by the key's hash first: a sort compares texts that begin alike in full, and numbers at once.
+    """
 
     @drops("C2", f"repeated {key}")
     def rule(df: DataFrame) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(key).orderBy("_seq"))
+        place = F.row_number().over(Window.partitionBy(F.xxhash64(key), key).orderBy("_seq"))
         return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
     return rule
@@ -89,7 +94,8 @@ def fill_labels(labels: dict[str, str]) -> Rule:
 def whole_number(column: str, kind: str) -> Column:
     """A whole number however it is spelled: ``2``, ``2.0``, ``2e0``; anything else is null."""
     exact = F.col(column).try_cast("decimal(38,9)")
-    return F.when(exact == F.floor(exact), exact).try_cast(kind)
+    # Plain digits, the usual spelling, need no decimal.
+    return F.coalesce(F.col(column).try_cast(kind), F.when(exact == F.floor(exact), exact).try_cast(kind))
 
 
 def numbers(**kinds) -> Rule:
@@ -112,8 +118,14 @@ def valid_time(column: str, kind: str = "timestamp_ntz") -> Rule:
 
 
 def with_parent(parent: DataFrame, key: str) -> Rule:
-    """Rows whose key exists in the cleaned parent table."""
-    return drops("C9", f"{key} is unknown")(lambda df: df.join(parent.select(key), key, "left_semi"))
+    """Rows whose key exists in the cleaned parent table. They meet by the key's hash and the key, as in ``keep_first``."""
+
+    @drops("C9", f"{key} is unknown")
+    def rule(df: DataFrame) -> DataFrame:
+        hashed = {"_hash": F.xxhash64(key)}
+        return df.withColumns(hashed).join(parent.select(key).withColumns(hashed), ["_hash", key], "left_semi").drop("_hash")
+
+    return rule
 
 
 def listed(column: str, values: tuple[str, ...]) -> Rule:
@@ -191,6 +203,7 @@ class Cleaning:
         self._keep = keep
         self._counting = counting
         self._done: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in TABLES}
         # Per table: its raw rows, then (rule, rows left) for every rule that leaves rows out.
         self._seen: dict[str, list[tuple[Rule | None, Observation]]] = {}
 
@@ -253,9 +266,11 @@ class Cleaning:
         ))
 
     def order_items(self) -> DataFrame:
+        # Cleaning leaves out no product but repeated ones, so a stored table has the same keys.
+        products = self.table("products") if self._keep else self.product_rows()
         return self._finished("order_items", self._run(
             "order_items", keep_first("order_item_id"), with_parent(self.table("orders"), "order_id"),
-            with_parent(self.product_rows(), "product_id"), numbers(quantity="int", unit_price=MONEY),
+            with_parent(products, "product_id"), numbers(quantity="int", unit_price=MONEY),
             positive_quantity, add_line_total,
         ))
 
@@ -292,10 +307,15 @@ class Cleaning:
         ))
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._done:
-            cleaned = getattr(self, name)()
-            self._done[name] = self._keep(cleaned, name) if self._keep else cleaned
-        return self._done[name]
+        with self._locks[name]:
+            if name not in self._done:
+                cleaned = getattr(self, name)()
+                self._done[name] = self._keep(cleaned, name) if self._keep else cleaned
+            return self._done[name]
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All cleaned tables; those that are stored are so side by side, a child once its parents are there."""
+        return dict(zip(TABLES, side_by_side(self.table, TABLES)))
 
     def shop(self, spark) -> Shop:
         return Shop(spark, self.table)
@@ -308,8 +328,7 @@ class Cleaning:
         them. The last count of a table is compared with the rows that were stored.
         """
         lines = []
-        for name in TABLES:
-            kept = self.table(name)
+        for name, kept in self.tables().items():
             (_, raw), *steps = self._seen[name]
             before = raw.get["rows"]
             for step, (rule, left) in enumerate(steps, 1):
@@ -323,8 +342,8 @@ class Cleaning:
     def audit(self) -> DataFrame:
         """Rows before and after, per table."""
         lines = []
-        for name in TABLES:
-            after = self.table(name).agg(F.count("*")).scalar()
+        for name, kept in self.tables().items():
+            after = kept.agg(F.count("*")).scalar()
             lines.append(self.raw(name).agg(F.count("*").alias("raw_rows")).select(
                 F.lit(name).alias("table_name"), "raw_rows", after.alias("clean_rows")
             ))

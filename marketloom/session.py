@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -28,4 +30,14 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def side_by_side(run: Callable, items: Iterable) -> list:
+    """``run`` of every item, each in a thread of its own: cores that one job leaves idle work for the others.
+
+    Results come in the order of the items; the first error is raised once all have ended.
+    """
+    items = list(items)
+    with ThreadPoolExecutor(max(1, len(items))) as pool:
+        return list(pool.map(run, items))
+
+
 _local_folders: dict[str, str] = {}

@@ -19,8 +19,14 @@ def _number(identifier: str) -> Column:
 
 def _copies(df: DataFrame, *conditions: Column) -> DataFrame:
     """Each row once, and once more per condition it meets; ``_seq`` counts the copies from 0."""
-    again = [F.when(condition, i) for i, condition in enumerate(conditions, 1)]
-    return df.withColumn("_seq", F.explode(F.array_compact(F.array(F.lit(0), *again))))
+
+    def numbers(copies: tuple[int, ...], number: int) -> Column:
+        """The copies' numbers; the arrays are constants, one for each set of conditions that a row can meet."""
+        if number > len(conditions):
+            return F.array(*[F.lit(c) for c in copies])
+        return F.when(conditions[number - 1], numbers((*copies, number), number + 1)).otherwise(numbers(copies, number + 1))
+
+    return df.withColumn("_seq", F.explode(numbers((0,), 1)))
 
 
 def _every(n: int, k: str = "_k") -> Column:
