@@ -22,7 +22,7 @@ from marketloom.plans import catalogue, sql_analysis, sql_cleaning, sql_views
 from marketloom.plans.catalogue import VIEWS
 from marketloom.plans.sqlparts import with_ctes
 from marketloom.schemas import CLEAN, TABLES, raw_schema
-from marketloom.session import new_folder
+from marketloom.session import new_folder, side_by_side
 from marketloom.shop import Shop
 from marketloom.sources import files
 from marketloom.sources.rawdata import RawTables, star_cleaning
@@ -391,18 +391,21 @@ _DAY_COLUMNS = {
 }
 
 
+def _raw_folder(spark: SparkSession, raw: RawTables) -> str:
+    place = new_folder(spark, "raw-csv")
+    side_by_side(lambda table: files.write_csv(raw.table(table).drop("_seq"), f"{place}/{table}"), TABLES)
+    return place
+
+
 def _raw_files(spark: SparkSession, folder: str) -> DataFrame:
-    raw, place = RawTables(spark, folder), new_folder(spark, "raw-csv")
-    for table in TABLES:
-        files.write_csv(raw.table(table).drop("_seq"), f"{place}/{table}")
+    place = _raw_folder(spark, RawTables(spark, folder))
     return files.row_counts(Shop(spark, lambda t: files.read_raw_csv(spark, f"{place}/{t}", t)))
 
 
 def _quarantined(spark: SparkSession, folder: str) -> DataFrame:
     """Raw files of all tables with lines among the customers that have a field too many or break off."""
-    raw, place = RawTables(spark, folder), new_folder(spark, "raw-csv")
-    for table in TABLES:
-        files.write_csv(raw.table(table).drop("_seq"), f"{place}/{table}")
+    raw = RawTables(spark, folder)
+    place = _raw_folder(spark, raw)
     key = F.substring("customer_id", 2, 12).cast("bigint")
     line = F.when(key % 97 == 0, F.concat("customer_id", F.lit(",a,b,c,d,e,f,g,h"))).when(key % 89 == 0, F.concat("customer_id", F.lit(",a")))
     # One column, named as the whole header, with another separator: lines are written as they are.
@@ -415,8 +418,7 @@ def _quarantined(spark: SparkSession, folder: str) -> DataFrame:
 
 def _clean_folder(spark: SparkSession, folder: str, tables=TABLES) -> str:
     shop, place = star_shop(spark, folder), new_folder(spark, "clean-csv")
-    for table in tables:
-        files.write_csv(shop.table(table).select(*CLEAN[table].names), f"{place}/{table}")
+    side_by_side(lambda table: files.write_csv(shop.table(table).select(*CLEAN[table].names), f"{place}/{table}"), tables)
     return place
 
 

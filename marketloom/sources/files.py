@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from marketloom.functions.numeric import plain_types
 from marketloom.functions.text import missing_to_null
 from marketloom.schemas import CLEAN, TABLES, raw_schema
+from marketloom.session import side_by_side
 from marketloom.shop import Shop
 
 # How timestamps without zone are spelled in CSV files, on both ways.
@@ -84,7 +85,7 @@ def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
     if not multi_line:
         broken = F.raise_error(F.lit("a value holds a line break: write and read with multi_line"))
         df = df.withColumns({
-            c: F.when(F.col(c).rlike("[\r\n]"), broken).otherwise(F.col(c)) for c, kind in df.dtypes if kind == "string"
+            c: F.when(F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r")), broken).otherwise(F.col(c)) for c, kind in df.dtypes if kind == "string"
         })
     df.write.options(header=True, escape='"', **_AS_IS, **_STAMPS).csv(path)
 
@@ -94,12 +95,15 @@ def write_result_csv(df: DataFrame, path: str) -> None:
 
 
 def load_tables(spark: SparkSession, csv_folder: str, parquet_folder: str, tables=TABLES) -> Shop:
-    """S3: CSV files into typed Parquet tables with exactly the declared columns."""
-    for table in tables:
+    """S3: CSV files into typed Parquet tables with exactly the declared columns; tables are loaded side by side."""
+
+    def load(table: str) -> None:
         columns = CLEAN[table].names
         read_clean_csv(spark, f"{csv_folder}/{table}", table).select(*columns).write.parquet(
             f"{parquet_folder}/{table}"
         )
+
+    side_by_side(load, tables)
     return Shop.of_parquet(spark, parquet_folder)
 
 

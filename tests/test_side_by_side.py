@@ -11,6 +11,7 @@ from marketloom.operators.cleaning import Cleaning, whole_number
 from marketloom.operators.ranking import written
 from marketloom.schemas import TABLES, raw_schema
 from marketloom.session import side_by_side
+from marketloom.sources import files
 from marketloom.sources.testdata import cents
 from tests.test_cleaning import RAW
 
@@ -56,11 +57,28 @@ def test_rules_are_counted_side_by_side(spark):
     assert items == [("C2", 7, 6), ("C9", 6, 5), ("C9", 5, 4), ("C14", 4, 2)]
 
 
+def test_files_are_loaded_side_by_side(spark, monkeypatch, tmp_path):
+    meet = threading.Barrier(2, timeout=60)
+
+    def read(session, path, table):
+        meet.wait()
+        return session.createDataFrame([], files.CLEAN[table])
+
+    monkeypatch.setattr(files, "read_clean_csv", read)
+    files.load_tables(spark, "unread", str(tmp_path), ("customers", "orders"))
+
+
 def test_an_error_in_one_of_several_is_raised():
     with pytest.raises(ZeroDivisionError):
         side_by_side(lambda x: 1 // x, [1, 0, 2])
 
 
+@pytest.mark.parametrize("text", ["a\nb", "a\rb"])
+def test_line_breaks_are_refused(spark, tmp_path, text):
+    with pytest.raises(Exception, match="holds a line break"):
+        files.write_csv(spark.createDataFrame([(text,), ("plain",)], "t string"), str(tmp_path / "out"))
+
+
 def test_short_cuts_give_what_the_rules_say(spark):
     texts = [
         None, "", " ", " a b ", "o'neil-town", "new  york", "ÉCOLE été", "a1b", "\t x\n", "2024/02/29", "02/29/2024", "2024-02-29 10:00:00", "/",
