@@ -45,7 +45,7 @@ FIT_VECTORS = 5_000
 PROBES = 400
 """Sampled vectors that stand for queries when the tables are fitted."""
 
-PART_VECTORS = 4_096
+PART_VECTORS = 16_384
 PROBED_AT_ONCE = 1 << 20
 """Chances of buckets that a task computes at a time."""
 
@@ -76,9 +76,12 @@ class Tables:
 
     @classmethod
     def cheapest(cls, sample: np.ndarray, longest: float, neighbours: int, vectors: int) -> "Tables":
-        """Of some numbers of tables and projections those whose queries cost least, going by the sample."""
+        """Of some numbers of tables and projections those whose queries cost least, going by the sample.
+
+        Where hashing leaves little out, few large buckets cost less than many that nearly every query visits.
+        """
         wanted = round(np.log(max(vectors, 1) / BUCKET_VECTORS) / np.log(INTERVALS))
-        few = sorted({int(np.clip(wanted + k, 1, MOST_PROJECTIONS)) for k in (-1, 0, 1)})
+        few = range(1, int(np.clip(wanted + 1, 1, MOST_PROJECTIONS)) + 1)
         choices = [cls(sample, longest, neighbours, vectors, t, p) for t in TABLES for p in few]
         costs = [c.cost(sample, vectors, neighbours) for c in choices]
         return choices[int(np.argmin(costs))]
@@ -236,8 +239,8 @@ def nearest(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY
         found, vectors = [], right.sort_values("vec_id", kind="stable")
         ids, matrix = vectors["vec_id"].to_numpy(), np.stack(vectors["vector"]) if len(vectors) else None
         longest_here = np.linalg.norm(matrix, axis=1).max() if len(vectors) else 0.0
-        for k in range(0, len(left) if len(ids) else 0, 512):
-            part = left.iloc[k:k + 512]
+        for k in range(0, len(left) if len(ids) else 0, 128):
+            part = left.iloc[k:k + 128]
             queries = part["query_id"].to_numpy()
             scores = np.stack(part["query"]) @ matrix.T
             own = queries[:, None] == ids[None, :]
