@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -40,6 +41,9 @@ PART_BYTES = 128 << 20
 CACHED_PARTS = 100_000
 """Encoded parts that a worker keeps, twice at most: about 40 MB. What one call needs comes on top."""
 
+CACHED_BYTES = 64
+"""Longer parts hardly recur and aren't kept."""
+
 SAMPLE = 64
 """Every so many entries a select sample holds the position of its bit."""
 
@@ -145,13 +149,18 @@ class Segment:
 class Encoder:
     """Encodes texts by parts that a byte-level tokenizer never joins: words with the blank before them, digits, punctuation.
 
-    Parts recur, so most come from a cache; new ones go to the tokenizer's model in one call. Where a text has other
-    characters, or other white space than one blank or line break, all from the blank before to the next blank before a
-    visible character, where tokens always begin, is encoded as it stands, as rules may reach further there. With a
-    tokenizer of another kind that holds for whole texts.
+    Parts are cut and compared as bytes, many texts at a time, and each different one is looked up once. Parts recur, so
+    most come from a cache; new ones go to the tokenizer's model in one call. Where a text has other characters, or other
+    white space than one blank or line break, all from the blank before to the next blank before a visible character,
+    where tokens always begin, is encoded as it stands, as rules may reach further there. With a tokenizer of another kind
+    that holds for whole texts.
     """
 
     LETTERS, DIGITS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"
+    ODD, LETTER, DIGIT, MARK, BLANK, LINE, END = range(7)
+    """Kinds of bytes. END stands behind each text, as a byte that UTF-8 hasn't."""
+
+    STOP = b"\xff"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -164,66 +173,124 @@ class Encoder:
             kind.get("type") == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]
             and settings["normalizer"] is None and settings["post_processor"] is None and not settings["model"].get("dropout")
         )
-        self.part = re.compile(f" ?[{self.LETTERS}]+| ?[{self.DIGITS}]+| ?[{self.MARKS}]+|\n")
-        self.odd = re.compile(f"[^{self.LETTERS}{self.DIGITS}{self.MARKS} \n]| (?=[ \n]|$)|\n\n")
-        self.gap = re.compile(r" (?=\S)")
+        ascii_ = "".join(map(chr, range(128)))
+        self.kinds = np.full(256, self.ODD, np.uint8)
+        for number, which in ((self.LETTER, self.LETTERS), (self.DIGIT, self.DIGITS), (self.MARK, self.MARKS)):
+            self.kinds[[ord(c) for c in re.findall(f"[{which}]", ascii_)]] = number
+        self.kinds[[0x20, 0x0A, 0xFF]] = self.BLANK, self.LINE, self.END
+        self.unseen = np.zeros(256, bool)
+        self.unseen[[ord(c) for c in ascii_ if c.isspace()] + [0xFF]] = True
+        self.blanks = np.isin(np.arange(7), (self.BLANK, self.LINE, self.END))
         # The model takes bytes spelled as visible characters; how, the tokenizer's own first step tells.
         spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        plain = [c for c in map(chr, range(32, 256)) if c == " " or re.match(f"[{self.LETTERS}{self.DIGITS}{self.MARKS}]", c)]
-        self.spelling = {ord(c): spelled.pre_tokenize_str(c)[0][0] for c in plain}
+        self.spelling = np.zeros(256, "<u4")
+        for c in map(chr, range(32, 256)):
+            self.spelling[list(c.encode())] = [ord(x) for x in spelled.pre_tokenize_str(c)[0][0]]
+        self.spelling[0x0A] = 0x0A
         self.model.pre_tokenizer = None
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.token_bytes = np.array([
+            len(self.model.id_to_token(k) or "") for k in range(self.model.get_vocab_size())
+        ] if self.by_parts else [], np.int64)
+        self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _split(self, text: str, odd_ones: set[str]) -> list[str]:
-        """The parts of a text; those that need the whole tokenizer also go into ``odd_ones``."""
-        parts, begin = [], 0
-        while odd := self.odd.search(text, begin):
-            start = odd.start()
-            while (start := text.rfind(" ", begin, start)) > begin and text[start + 1].isspace():
-                pass
-            start = max(start, begin)
-            end = self.gap.search(text, max(odd.end(), start + 1))
-            end = end.start() if end else len(text)
-            parts += self.part.findall(text, begin, start)
-            parts.append(text[start:end])
-            odd_ones.add(text[start:end])
-            begin = end
-        parts += self.part.findall(text, begin)
-        return parts
-
-    def _learn(self, parts: set[str], odd_ones: set[str]) -> None:
-        """Puts the ids of ``parts`` into the cache, which keeps about the last ``CACHED_PARTS`` to twice as many."""
+    def _gaps(self, data: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Places of the blanks before visible characters."""
+        gaps = np.flatnonzero(kinds[:-1] == self.BLANK)
+        gaps = gaps[~self.unseen[data[gaps + 1]]]
+        # White space outside ASCII: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+        rare = np.flatnonzero(np.isin(data[gaps + 1], (0xC2, 0xE1, 0xE2, 0xE3)))
+        lead, second, third = (data[np.minimum(gaps[rare] + k, len(data) - 1)] for k in (1, 2, 3))
+        space = (lead == 0xC2) & np.isin(second, (0x85, 0xA0)) | (lead == 0xE1) & (second == 0x9A) & (third == 0x80)
+        space |= (lead == 0xE2) & (second == 0x80) & ((third <= 0x8A) | np.isin(third, (0xA8, 0xA9, 0xAF)))
+        space |= (lead == 0xE2) & (second == 0x81) & (third == 0x9F) | (lead == 0xE3) & (second == 0x80) & (third == 0x80)
+        return np.delete(gaps, rare[space])
+
+    def _split(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the parts of texts begin, and which of them need the whole tokenizer; each text's END is a part."""
+        kinds = self.kinds[data]
+        leads = np.flatnonzero(data == 0xC3)  # À to ÿ, but not × and ÷
+        kinds[leads] = kinds[leads + 1] = np.where(np.isin(data[leads + 1], (0x97, 0xB7)), self.ODD, self.LETTER)
+        after, before = np.append(kinds[1:], self.END), np.insert(kinds[:-1], 0, self.END)
+        blank, line, end = kinds == self.BLANK, kinds == self.LINE, kinds == self.END
+        odd = (kinds == self.ODD) | blank & self.blanks[after] | line & (after == self.LINE)
+        stretch = end | (before == self.END)
+        stretch[self._gaps(data, kinds)] = True
+        starts = np.flatnonzero(stretch | blank | line | (kinds != before) & (before != self.BLANK))
+        first = stretch[starts]
+        stretch_of = np.cumsum(first) - 1
+        whole = np.zeros(int(first.sum()), bool)
+        whole[np.searchsorted(starts[first], np.flatnonzero(odd), "right") - 1] = True
+        whole = whole[stretch_of]
+        kept = first | ~whole
+        return starts[kept], whole[kept]
+
+    def _modelled(self, parts: list[bytes]) -> list[bytes]:
+        """Ids by the model alone. Tokens spell their parts, so the tokens' bytes tell where one part ends."""
+        words = self.spelling[np.frombuffer(b"\n".join(parts), np.uint8)].tobytes().decode("utf-32-le").split("\n")
+        ids = self.model.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids
+        ids, sizes = np.array(ids, "<u4"), np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        reached = np.cumsum(self.token_bytes[ids])
+        ends = np.searchsorted(reached, sizes) + 1
+        if ends[-1] != len(ids) or (reached[ends - 1] != sizes).any():  # a vocabulary without some of the bytes
+            found = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(parts)))
+        flat, ends = ids.tobytes(), (ends * 4).tolist()
+        return [flat[begin:end] for begin, end in zip([0, *ends], ends)]
+
+    def _ids(self, parts: list[bytes], whole: np.ndarray) -> list[bytes]:
+        """Ids of different parts. The cache keeps about the last ``CACHED_PARTS`` to twice as many short ones."""
         if len(self.cache) > CACHED_PARTS:
             self.cache, self.older = {}, self.cache
-        new = list(parts - self.cache.keys())
-        known = list(map(self.older.get, new))
-        self.cache.update((part, ids) for part, ids in zip(new, known) if ids is not None)
-        odd_ones.add("\n")
-        whole = [part for part, ids in zip(new, known) if ids is None and part in odd_ones]
-        self.cache.update(zip(whole, self._whole(whole)))
-        plain = [part for part, ids in zip(new, known) if ids is None and part not in odd_ones]
-        for k in range(0, len(plain), 50_000):
-            some = plain[k:k + 50_000]
-            words = "\n".join(some).translate(self.spelling).split("\n")
-            found = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
-            ends = np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(some)) * 4).tolist()
-            ids, start = array("I", found.ids).tobytes(), 0
-            for part, end in zip(some, ends):
-                self.cache[part] = ids[start:end]
-                start = end
+        self.cache[self.STOP] = b""
+        ids = list(map(self.cache.get, parts))
+        new = [k for k, known in enumerate(ids) if known is None]
+        for k, known in zip(new, [self.older.get(parts[k]) for k in new]):
+            if known is not None:
+                ids[k] = self.cache[parts[k]] = known
+        new = [k for k in new if ids[k] is None]
+        odd = [k for k in new if whole[k] or parts[k] == b"\n"]
+        for k, found in zip(odd, self._whole([parts[k].decode() for k in odd])):
+            ids[k] = found
+        plain = [k for k in new if ids[k] is None]
+        for begin in range(0, len(plain), 50_000):
+            some = plain[begin:begin + 50_000]
+            for k, found in zip(some, self._modelled([parts[k] for k in some])):
+                ids[k] = found
+        self.cache.update((parts[k], ids[k]) for k in new if len(parts[k]) <= CACHED_BYTES)
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its token ids as little-endian unsigned 32-bit integers."""
         if not self.by_parts:
             return self._whole(texts)
-        odd_ones: set[str] = set()
-        split = [self._split(text, odd_ones) for text in texts]
-        self._learn(set().union(*split), odd_ones)
-        return [b"".join(map(self.cache.__getitem__, parts)) for parts in split]
+        if not texts:
+            return []
+        raw = self.STOP.join([*map(str.encode, texts), b""])
+        data = np.frombuffer(raw, np.uint8)
+        starts, whole = self._split(data)
+        ends = np.append(starts, len(data))
+        parts = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw)]
+        ).dictionary_encode()
+        which = parts.indices.to_numpy()
+        odd = np.zeros(len(parts.dictionary), bool)
+        odd[which] = whole
+        _, places, content = parts.dictionary.buffers()
+        places, content = np.frombuffer(places, np.int64, len(odd) + 1).tolist(), content.to_pybytes()
+        found = self._ids([content[begin:end] for begin, end in zip(places, places[1:])], odd)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        size = sizes[which]
+        ends = np.cumsum(size)
+        places = np.repeat(begins[which] - ends + size, size)
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(found), "<u4")[places].tobytes()
+        ends = (ends[data[starts] == 0xFF] * 4).tolist()
+        return [ids[begin:end] for begin, end in zip([0, *ends], ends)]
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -260,12 +327,14 @@ def write_tokens(docs: DataFrame, folder: str, path: str) -> None:
     end = np.array([END_ID], "<u4").tobytes()
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, seq, encoding = TaskContext.get().partitionId(), 0, encoder(path)
+        part, seq, before, encoding = TaskContext.get().partitionId(), 0, 0, encoder(path)
         doc_ids, lengths, ids = [], [], bytearray()
 
         def closed() -> pd.DataFrame:
             data = Segment.pack(doc_ids, lengths, ids, encoding.width)
-            return pd.DataFrame({"part": [part], "seq": [seq], "n_docs": [len(doc_ids)], "n_ids": [len(ids) // 4], "segment": [data]})
+            return pd.DataFrame({
+                "part": [part], "seq": [seq], "before": [before], "n_docs": [len(doc_ids)], "n_ids": [len(ids) // 4], "segment": [data],
+            })
 
         for batch in batches:
             numbers = [None if pd.isna(d) else int(d) for d in batch["doc_id"].astype("object")]
@@ -276,6 +345,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str) -> None:
                     ids += encoded + end
                     if len(ids) >= 4 * SEGMENT_IDS:
                         yield closed()
+                        before += len(ids) // 4
                         doc_ids, lengths, ids, seq = [], [], bytearray(), seq + 1
         if doc_ids:
             yield closed()
@@ -284,22 +354,22 @@ def write_tokens(docs: DataFrame, folder: str, path: str) -> None:
     parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(
-        segments, "part int, seq int, n_docs long, n_ids long, segment binary"
+        segments, "part int, seq int, before long, n_docs long, n_ids long, segment binary"
     ).write.parquet(folder)
 
 
 def read_tokens(session: SparkSession, folder: str) -> DataFrame:
-    """Segments with ``first``: the ids of all documents before them. Sums per part first, so no window is long."""
-    sizes = session.read.parquet(folder).select("part", "seq", "n_ids")
+    """Segments with ``first``: the ids of all documents before them.
+
+    A segment knows the ids before it in its part, so only the parts, one row for each writing task, are added up and
+    broadcast; segments aren't shuffled.
+    """
+    segments = session.read.parquet(folder)
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before_part")
     )
-    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    places = sizes.withColumn("before_segment", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(parts, "part").select(
-        "part", "seq", (F.col("before_part") + F.col("before_segment")).alias("first")
-    )
-    return session.read.parquet(folder).join(places, ["part", "seq"])
+    return segments.join(F.broadcast(parts), "part").withColumn("first", F.col("before_part") + F.col("before"))
 
 
 def document_digests(segments: DataFrame) -> DataFrame:

@@ -127,6 +127,24 @@ def test_tokens(docs, none):
     assert [r.start for r in found] == list(np.cumsum([0] + [r.n_tokens for r in found])[:-1])
 
 
+def test_segments_are_read_without_a_shuffle(spark, tmp_path):
+    held = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        texts = spark.range(8).selectExpr("id AS doc_id", "repeat('a ', 600000) AS text")
+        token_files.write_tokens(texts, str(tmp_path / "tokens"), token_files.vocabulary())
+        segments = token_files.read_tokens(spark, str(tmp_path / "tokens"))
+        assert segments.groupBy("part").count().where("count > 1").count() > 0
+        assert "SortMergeJoin" not in segments._jdf.queryExecution().executedPlan().toString()
+        found = token_files.document_digests(segments).orderBy("doc_id").collect()
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+    assert [r.start for r in found] == list(np.cumsum([0] + [r.n_tokens for r in found])[:-1])
+    assert len(found) == 8 and found[0].n_tokens > 600_000
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(2)
     for values in ([], [0], [5, 5, 5], list(range(300)), sorted(rng.integers(0, 1 << 40, 500).tolist())):

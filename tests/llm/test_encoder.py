@@ -36,3 +36,52 @@ def test_other_tokenizers_take_whole_texts(tmp_path):
     encoder = token_files.Encoder(str(tmp_path / "words.json"))
     assert not encoder.by_parts
     assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(["a b\na", "", "c"])] == [[1, 2, 1], [], [0]]
+
+
+def test_parts_are_looked_up_once_and_long_ones_are_not_kept():
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        looked_up = 0
+
+        def __getitem__(self, key):
+            Counted.looked_up += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            Counted.looked_up += 1
+            return super().get(key, default)
+
+    path = token_files.vocabulary()
+    encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+    encoder.cache = Counted(encoder.cache)
+    texts = ["a word and 12 " * 500, "中" * 5_000, "x" * 3_000]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert Counted.looked_up < 20
+    assert max(map(len, encoder.cache)) < 100
+
+
+def test_vocabulary_without_some_bytes(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    small = Tokenizer(models.BPE({"a": 0, "b": 1, "ab": 2, "Ġ": 3}, [("a", "b")]))
+    small.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    small.save(str(tmp_path / "small.json"))
+    encoder = token_files.Encoder(str(tmp_path / "small.json"))
+    assert encoder.by_parts
+    texts = ["ab xab ba", "xyz", "", "ab\nab 1"]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == [small.encode(text).ids for text in texts]
+
+
+def test_white_space_outside_ascii():
+    from tokenizers import Tokenizer
+
+    path = token_files.vocabulary()
+    encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+    spaces = [*map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x1C, 0x1F)), "“", "あ", "ž"]
+    texts = [f"a{left}{space}{right}b" for space in spaces for left in ("", " ", "\n") for right in ("", " ", "\n", "\n ")]
+    texts += [f"a {space}" for space in spaces]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == [
+        tokenizer.encode(text, add_special_tokens=False).ids for text in texts
+    ]
