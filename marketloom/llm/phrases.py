@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -217,17 +218,22 @@ class PhraseCounter:
     @staticmethod
     def _rows(lang: str, phrases: list[bytes], times) -> pa.RecordBatch:
         return pa.record_batch({
-            "lang": pa.array([lang] * len(phrases), pa.string()),
-            "phrase": pa.array([p.decode("utf-8", "replace") for p in phrases], pa.string()), "n": np.asarray(times, np.int64),
+            "lang": pa.repeat(pa.scalar(lang, pa.string()), len(phrases)),
+            "phrase": pa.array(phrases, pa.binary()).cast(pa.string()), "n": np.asarray(times, np.int64),
         })
 
 
+def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Phrase, line break and language as one short key: nearly all that a pass shuffles are these rows."""
+    return pa.record_batch({"key": pc.binary_join_element_wise(batch["phrase"], batch["lang"], "\n"), "n": batch["n"]})
+
+
 def counts(
-    docs: DataFrame, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS, closing: bool = False,
+    docs: DataFrame, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS, closing: bool = False, least: int = 1,
 ) -> DataFrame:
     """``lang, k, phrase, n``: exact counts over all texts of the phrases of ``k`` words that ``proposed`` adds to ``counted``.
 
-    The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0. A ``closing``
+    Those with fewer than ``least`` occurrences are left out. The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0. A ``closing``
     pass takes all phrases that it counts anew for proposed ones, and so counts their extensions at once.
     """
     shared = docs.sparkSession.sparkContext.broadcast((counted, proposed))
@@ -236,13 +242,17 @@ def counts(
         counter = PhraseCounter(*shared.value, most, closing)
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
-                yield from counter.feed(lang.as_py(), text.as_py())
-        yield from counter.flush()
+                yield from map(keyed, counter.feed(lang.as_py(), text.as_py()))
+        yield from map(keyed, counter.flush())
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
-    summed = texts.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    summed = texts.mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\n", 1)
+    found = summed.where((F.col("n") >= least) | F.col("key").startswith("\n")).select(
+        F.expr("substring(key, length(substring_index(key, '\n', 1)) + 2)").alias("lang"), phrase.alias("phrase"), "n"
+    )
     k = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    return summed.select("lang", k.alias("k"), "phrase", "n")
+    return found.select("lang", k.alias("k"), "phrase", "n")
 
 
 def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, most: int = MOST_WORDS) -> DataFrame:
@@ -253,7 +263,7 @@ def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, mos
     counted, bitmap = None, None if proposed is None else bitmap_of(proposed)
     known, closing = None, False
     while True:
-        found = counts(docs, counted, bitmap, most, closing).where((F.col("phrase") == "") | (F.col("n") >= least))
+        found = counts(docs, counted, bitmap, most, closing, least)
         # A phrase may be counted in two passes, by a bitmap's false positives: with the same result.
         known = found if known is None else known.unionByName(found).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n"))
         known = stored(known, "phrases")

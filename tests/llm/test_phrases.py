@@ -128,3 +128,14 @@ def test_scores_beyond_64_bits(spark):
     )
     row = phrases.scored(known).first()
     assert row.score == 1000 * big * 9 * 10**13 // ((big + 1) * (big + 3))
+
+
+def test_counted_phrases_travel_as_one_key(spark):
+    texts = [("a\nb", "one two. one two"), ("a", "b one two"), ("", "one"), (None, "é é;\n\n"), ("a\n", "one two")]
+    docs = spark.createDataFrame([(k, *row) for k, row in enumerate(texts)], "doc_id long, lang string, text string")
+    everything = phrases.Bitmap(phrases.LEAST_BITS, b"\xff" * (1 << (phrases.LEAST_BITS - 3)))
+    found = phrases.counts(docs, None, everything)
+    assert {(r.lang, r.k, r.phrase): r.n for r in found.collect()} == all_counts(texts)
+    assert "hashpartitioning(key" in found._jdf.queryExecution().executedPlan().toString()
+    often = phrases.counts(docs, None, everything, least=2).collect()
+    assert {(r.lang, r.phrase): r.n for r in often if r.k} == {("a\nb", p): 2 for p in ("one", "two", "one two")} | {("und", "é"): 2}
