@@ -10,12 +10,13 @@ five-word shingles in the document or of words in order in one stretch of it, wh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F
 
 UNIT_WORDS = 48
 PASSAGE_WORDS = 128
@@ -31,6 +32,10 @@ INDEX_BYTES = 8 << 20
 """Text of the items in one broadcast index. Beyond it the items are dealt to several, each scanned in turn."""
 
 HITS = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double,first_word:long>>"
+HITS_TYPE = pa.list_(pa.struct([
+    ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()),
+    ("first_word", pa.int64()),
+]))
 
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256)
@@ -247,6 +252,17 @@ def indexes(benchmark: DataFrame) -> Iterator[Index]:
         yield Index(mine, frequencies, total, UNIT_WORDS / 2)
 
 
+def _scanning(shared: Broadcast, threshold: float, overlap: float) -> Callable[[str, str], Column]:
+    """Hits of earlier indexes and those of this one. Of a row, Python gets the text and these hits only."""
+
+    @F.arrow_udf(HITS)
+    def scan(texts: pa.Array, earlier: pa.Array) -> pa.Array:
+        new = [(old.as_py() or []) + shared.value.hits(t.as_py(), threshold, overlap) for t, old in zip(texts, earlier)]
+        return pa.array(new, HITS_TYPE)
+
+    return scan
+
+
 def with_hits(
     docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, name: str = "hits",
 ) -> DataFrame:
@@ -263,19 +279,8 @@ def with_hits(
         raise ValueError(f"documents have a column {name} already")
     result = docs.withColumn(name, F.lit(None).cast(HITS))
     for index in indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-        schema = result.schema
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.schema.get_field_index(name)
-                earlier = batch.column(at).to_pylist()
-                new = [
-                    (old or []) + shared.value.hits(t.as_py(), threshold, overlap) for old, t in zip(earlier, batch["text"])
-                ]
-                yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
-
-        result = result.mapInArrow(scan, schema)
+        scan = _scanning(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)
+        result = result.withColumn(name, scan("text", name))
     return result
 
 

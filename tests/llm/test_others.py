@@ -256,3 +256,11 @@ def test_pipeline_on_no_documents(spark):
 
 def test_pipeline_runs_whole(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 50
+
+
+def test_rows_do_not_pass_through_python_to_be_scanned(spark):
+    """Python gets the text once, not the whole row beside it."""
+    docs = documents(spark)
+    benchmark = spark.createDataFrame([(1, "What is it? Nothing at all")], "item_id long, text string")
+    plan = decontamination.clean(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
