@@ -1,13 +1,15 @@
 """Phrase collocations by Toivonen's mining: a sample proposes phrases, full passes count them and their negative border.
 
-A phrase is proposed if it is frequent in a sample of the texts' pieces at a lowered threshold. A full pass counts, exactly,
-every phrase whose two parts without the last and without the first word are proposed: the proposed phrases and their
-negative border. If a counted phrase is frequent but wasn't proposed, its extensions may be frequent too: it is added,
-and a further pass counts what that brings in, until the proposals are closed. So the sample decides how many passes
-there are and never what they return.
-
-Proposals reach the tasks as a bitmap of bounded size. A false positive in it makes a pass count a phrase more. Tasks
-number words and phrases by dictionaries, so counts within a task are exact; between tasks the phrases' texts meet.
+A phrase is proposed if it is frequent in a sample of the texts' pieces at a lowered threshold. A full pass counts every
+phrase whose two parts without the last and without the first word are proposed: the proposed phrases and their negative
+border. Most of them are rare, so this pass counts by hash, as in Park, Chen and Yu's mining: equal phrases have equal
+hashes, so what has too few occurrences by its hash is rare for certain. If a hash is frequent but wasn't proposed, its
+extensions may be frequent too: it is added, and a further pass counts what that brings in, until the proposals are
+nearly closed. A last pass counts, exactly and by text, the phrases of frequent hashes and all that the last unproposed
+ones bring in. So the sample decides how many passes there are and never what they return.
+
+Proposals and frequent hashes reach the tasks as bitmaps of bounded size. A false positive in them, or two phrases of one
+hash, makes a pass count a phrase more. Tasks number words and phrases by dictionaries, so counts by text are exact.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ SAMPLE_SLACK = 0.4
 CLOSING_SHARE = 20
 """Border failures that cover at most one in so many words are settled by one further pass."""
 
+TEXT_BYTES = 32 << 20
+"""Counts by text that a task collects before it adds them up."""
+
 FLUSH_WORDS = 1 << 20
 """Words that a task counts at a time."""
 
@@ -53,6 +58,13 @@ LEAST_BITS, MOST_BITS = 20, 28
 """The bitmap has 2 to the power of these bits, thus at most 32 MB."""
 
 BUCKET = 15
+BLOCK_BITS, HASH_BITS, K_BITS = 12, 41, 3
+"""Counts by hash keep the first ``HASH_BITS`` bits and, behind them, the number of words. Their first ``BLOCK_BITS`` bits are
+the block by which they are shuffled, the other 32 are what it holds: at 5 billion different phrases of tasks, 5 MB."""
+
+HASH_ROWS = 3 << 20
+"""Counts by hash that a task collects before it adds them up and lets them go."""
+
 SEPARATORS = r"[.,;:!?\x0A-\x0D]"
 _BLANKS = re.compile(r"[\x20\x09.,;:!?\x0A-\x0D]")
 _NORMAL = bytes(
@@ -73,6 +85,18 @@ def _hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
+def kept_bits(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - HASH_BITS) << np.uint64(64 - HASH_BITS)
+
+
+def added_up(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in ascending order, with their sums."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
 @dataclass(frozen=True)
 class Bitmap:
     """A set of hashes: two bits each. What was added is found; little else is."""
@@ -82,7 +106,7 @@ class Bitmap:
 
     @staticmethod
     def places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        shift = np.uint64(64 - bits)
+        hashes, shift = kept_bits(hashes), np.uint64(64 - bits)
         return hashes >> shift, (hashes * _SECOND) >> shift
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
@@ -92,11 +116,23 @@ class Bitmap:
         return found
 
 
+@dataclass(frozen=True)
+class Either:
+    """What any of several bitmaps holds."""
+
+    bitmaps: tuple
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(hashes), bool)
+        for bitmap in self.bitmaps:
+            found |= bitmap.holds(hashes)
+        return found
+
+
 def bitmap_of(proposed: DataFrame) -> Bitmap:
-    """Proposals (``lang, phrase``) as a bitmap of 16 bits each, up to ``MOST_BITS``; the driver gets its blocks of 4 KB."""
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, proposed.count()) * 16))))
+    """Proposals (``lang, phrase``) as a bitmap."""
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = np.empty(batch.num_rows, np.uint64)
             for k, (lang, phrase) in enumerate(zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist())):
@@ -104,9 +140,21 @@ def bitmap_of(proposed: DataFrame) -> Bitmap:
                 for word in phrase.encode().split(b" "):
                     one = extended(one, np.array([_hash(word)], np.uint64))
                 hashes[k] = one[0]
-            yield pa.record_batch({"place": np.concatenate(Bitmap.places(hashes, bits)).astype(np.int64)})
+            yield pa.record_batch({"hash": hashes.view(np.int64)})
+
+    return bitmap_of_hashes(proposed.select("lang", "phrase").mapInArrow(hashed, "hash long"))
+
 
-    blocks = proposed.select("lang", "phrase").mapInArrow(places, "place long").groupBy(
+def bitmap_of_hashes(hashes: DataFrame) -> Bitmap:
+    """Hashes (``hash``) as a bitmap of 16 bits each, up to ``MOST_BITS``; the driver gets its blocks of 4 KB."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, hashes.count()) * 16))))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Bitmap.places(batch["hash"].to_numpy().view(np.uint64), bits)
+            yield pa.record_batch({"place": np.concatenate(found).astype(np.int64)})
+
+    blocks = hashes.select("hash").mapInArrow(places, "place long").groupBy(
         F.shiftright("place", BUCKET).alias("block")
     ).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << BUCKET) - 1)).alias("data"))
     data = bytearray(1 << (bits - 3))
@@ -131,15 +179,23 @@ class _Words(dict):
 
 
 class PhraseCounter:
-    """Counts the phrases of one task: all whose parts are ``proposed``, without those whose parts are ``counted``."""
+    """Counts the phrases of one task: all whose parts are ``proposed``, without those whose parts are ``counted``.
 
-    def __init__(self, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS, closing: bool = False):
+    Of these and of words, it counts those that are ``frequent`` after all, if that is given. ``hashed``: by hash, else by text.
+    """
+
+    def __init__(
+        self, counted: Bitmap | Either | None, proposed: Bitmap | Either | None, most: int = MOST_WORDS, closing: bool = False,
+        frequent: Bitmap | None = None, hashed: bool = False,
+    ):
         self.counted, self.proposed, self.most, self.closing = counted, proposed, most, closing
+        self.frequent, self.hashed = frequent, hashed
+        self.entries, self.times, self.collected = [], [], 0
         self.words = _Words()
         self.streams: dict[str, list[np.ndarray]] = {}
         self.size = 0
         self.carried = 0
-        self.first = counted is None
+        self.first = counted is None or frequent is not None
 
     def feed(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
         begin = 0
@@ -175,18 +231,23 @@ class PhraseCounter:
         words = self.words.words
         times = np.bincount(ids[new:], minlength=len(words))
         times[0] = 0
-        if self.first:
-            seen = np.flatnonzero(times)
-            yield self._rows(lang, [words[k] for k in seen.tolist()], times[seen])
-            yield self._rows(lang, [b""], [int(times.sum())])
-        if self.proposed is None:
-            return
         used = np.zeros(len(words), bool)
         used[ids] = True
         used[0] = False
         used = np.flatnonzero(used)
         code_hash = np.zeros(len(words), np.uint64)
         code_hash[used] = extended(np.full(len(used), _hash(lang.encode()), np.uint64), hashes[used])
+        if self.first:
+            seen = np.flatnonzero(times)
+            if self.frequent is not None:
+                seen = seen[self.frequent.holds(code_hash[seen])]
+            if self.hashed:
+                yield from self._collect(1, code_hash[seen], times[seen])
+            else:
+                yield self._rows(lang, [words[k] for k in seen.tolist()], times[seen])
+                yield self._rows(lang, [b""], [int(times.sum())])
+        if self.proposed is None:
+            return
         wanted, done = np.zeros(len(words), bool), np.zeros(len(words), bool)
         wanted[used] = self.proposed.holds(code_hash[used])
         if self.counted is not None:
@@ -201,12 +262,17 @@ class PhraseCounter:
             found, at, which = np.unique(code[starts] * len(words) + last, return_index=True, return_inverse=True)
             times = np.bincount(which[starts + k > new], minlength=len(found))
             old = done_at[starts[at]] & done_at[starts[at] + 1]
-            fresh = np.flatnonzero(~old & (times > 0))
-            begins = starts[at[fresh]]
-            columns = [[words[w] for w in ids[begins + j].tolist()] for j in range(k)]
-            if len(fresh):
-                yield self._rows(lang, list(map(b" ".join, zip(*columns))), times[fresh])
             code_hash = extended(code_hash[code[starts[at]]], hashes[last[at]])
+            fresh = ~old if self.frequent is None else ~old | self.frequent.holds(code_hash)
+            fresh = np.flatnonzero(fresh & (times > 0))
+            if self.hashed:
+                yield from self._collect(k, code_hash[fresh], times[fresh])
+            elif len(fresh):
+                begins = starts[at[fresh]]
+                columns = [[words[w] for w in ids[begins + j].tolist()] for j in range(k)]
+                yield self._rows(lang, list(map(b" ".join, zip(*columns))), times[fresh])
+            if k == self.most:
+                return
             in_wanted = self.proposed.holds(code_hash)
             if self.closing:
                 in_wanted |= ~old
@@ -215,6 +281,28 @@ class PhraseCounter:
             next_code[starts], wanted_at[starts], done_at[starts] = which, in_wanted[which], in_done[which]
             code = next_code
 
+    def _collect(self, k: int, hashes: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.entries.append(kept_bits(hashes) | np.uint64(k << 64 - HASH_BITS - K_BITS))
+        self.times.append(times)
+        self.collected += len(times)
+        if self.collected >= HASH_ROWS:
+            yield from self.blocks()
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        """What was counted by hash, a row for each block: the entries' last 32 bits, and occurrences."""
+        if not self.collected:
+            return
+        entries, n = added_up(np.concatenate(self.entries), np.concatenate(self.times))
+        self.entries, self.times, self.collected = [], [], 0
+        block, at = np.unique((entries >> np.uint64(64 - BLOCK_BITS)).astype(np.int32), return_index=True)
+        ends = pa.py_buffer((np.append(at, len(entries)) * 4).astype(np.int32))
+
+        def of(values: np.ndarray) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(block), [None, ends, pa.py_buffer(values.astype("<u4"))])
+
+        rest = entries >> np.uint64(64 - HASH_BITS - K_BITS)
+        yield pa.record_batch({"block": block, "entries": of(rest & np.uint64(0xFFFFFFFF)), "n": of(np.minimum(n, 0xFFFFFFFF))})
+
     @staticmethod
     def _rows(lang: str, phrases: list[bytes], times) -> pa.RecordBatch:
         return pa.record_batch({
@@ -228,25 +316,90 @@ def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch({"key": pc.binary_join_element_wise(batch["phrase"], batch["lang"], "\n"), "n": batch["n"]})
 
 
-def counts(
-    docs: DataFrame, counted: Bitmap | None, proposed: Bitmap | None, most: int = MOST_WORDS, closing: bool = False, least: int = 1,
+def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task, keys that recur added up; what doesn't shrink to half is let go, so that little is held."""
+    kept, size = [], 0
+
+    def summed() -> pa.Table:
+        table = pa.Table.from_batches(kept).group_by("key", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"key": table["key"], "n": table["n_sum"]})
+
+    for batch in batches:
+        kept.append(batch)
+        size += batch.nbytes
+        if size >= TEXT_BYTES:
+            table = summed()
+            kept, size = table.to_batches(), table.nbytes
+            if size * 2 > TEXT_BYTES:
+                yield from table.to_batches(max_chunksize=100_000)
+                kept, size = [], 0
+    if kept:
+        yield from summed().to_batches(max_chunksize=100_000)
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
+
+
+def frequent_hashes(
+    docs: DataFrame, counted: Either | None, proposed: Either | None, most: int = MOST_WORDS, least: int = LEAST,
 ) -> DataFrame:
-    """``lang, k, phrase, n``: exact counts over all texts of the phrases of ``k`` words that ``proposed`` adds to ``counted``.
+    """``hash, k, n, open``: what ``counts`` would count, by hash, with at least ``least`` occurrences; ``open`` if not proposed.
 
-    Those with fewer than ``least`` occurrences are left out. The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0. A ``closing``
-    pass takes all phrases that it counts anew for proposed ones, and so counts their extensions at once.
+    Words are in the first pass only, the one without ``counted``.
     """
     shared = docs.sparkSession.sparkContext.broadcast((counted, proposed))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PhraseCounter(*shared.value, most, closing)
+        counter = PhraseCounter(*shared.value, most, hashed=True)
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
-                yield from map(keyed, counter.feed(lang.as_py(), text.as_py()))
-        yield from map(keyed, counter.flush())
+                yield from counter.feed(lang.as_py(), text.as_py())
+        yield from counter.flush()
+        yield from counter.blocks()
+
+    def summed(block: pa.Table) -> pa.Table:
+        def values(name: str) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in block[name]])
+
+        entries, n = added_up(values("entries"), values("n").astype(np.int64))
+        entries, n = entries[n >= least], n[n >= least]
+        first = np.uint64(block["block"][0].as_py() << 64 - BLOCK_BITS)
+        hashes = kept_bits(entries.astype(np.uint64) << np.uint64(64 - HASH_BITS - K_BITS) | first)
+        known = shared.value[1]
+        return pa.table({
+            "hash": hashes.view(np.int64), "k": (entries & np.uint32((1 << K_BITS) - 1)).astype(np.int32), "n": n,
+            "open": np.ones(len(n), bool) if known is None else ~known.holds(hashes),
+        })
+
+    packed = texts_of(docs).mapInArrow(count, "block int, entries binary, n binary")
+    return packed.groupBy("block").applyInArrow(summed, "hash long, k int, n long, open boolean")
 
-    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
-    summed = texts.mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+def counts(
+    docs: DataFrame, counted: Bitmap | Either | None, proposed: Bitmap | Either | None, most: int = MOST_WORDS, closing: bool = False,
+    least: int = 1, frequent: Bitmap | None = None,
+) -> DataFrame:
+    """``lang, k, phrase, n``: exact counts over all texts of the phrases of ``k`` words that ``proposed`` adds to ``counted``.
+
+    Those with fewer than ``least`` occurrences are left out. The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0. A ``closing``
+    pass takes all phrases that it counts anew for proposed ones, and so counts their extensions at once. With
+    ``frequent``, words and phrases that it holds are counted as well, whether or not ``counted`` has them.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((counted, proposed, most, closing, frequent))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = PhraseCounter(*shared.value)
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lang, text in zip(batch["lang"], batch["text"]):
+                    yield from counter.feed(lang.as_py(), text.as_py())
+            yield from counter.flush()
+
+        yield from combined(map(keyed, counted()))
+
+    summed = texts_of(docs).mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
     phrase = F.substring_index("key", "\n", 1)
     found = summed.where((F.col("n") >= least) | F.col("key").startswith("\n")).select(
         F.expr("substring(key, length(substring_index(key, '\n', 1)) + 2)").alias("lang"), phrase.alias("phrase"), "n"
@@ -255,41 +408,41 @@ def counts(
     return found.select("lang", k.alias("k"), "phrase", "n")
 
 
-def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None, most: int = MOST_WORDS) -> DataFrame:
+def closed(docs: DataFrame, least: int, proposed: Either | None, most: int = MOST_WORDS) -> tuple[Either | None, DataFrame]:
+    """Proposals, extended until few words or none are covered by frequent phrases without, and the frequent hashes of all passes."""
+    counted, found, words = None, None, 0
+    while True:
+        new = stored(frequent_hashes(docs, counted, proposed, most, least), "frequent-hashes")
+        found = new if found is None else found.unionByName(new)
+        open_ = new.where(F.col("open") & (F.col("k") < most))
+        new_words, extended_ = new.agg(F.sum(F.when(F.col("k") == 1, F.col("n"))), F.sum(F.when(F.col("open") & (F.col("k") < most), F.col("n")))).first()
+        words += new_words or 0
+        # Few occurrences to extend: a closing pass counts little more than a plain one.
+        if not extended_ or extended_ * CLOSING_SHARE <= words:
+            return proposed, found
+        counted, proposed = proposed or Either(()), Either(((*proposed.bitmaps,) if proposed else ()) + (bitmap_of_hashes(open_),))
+
+
+def frequent(docs: DataFrame, least: int, proposed: DataFrame | Bitmap | None = None, most: int = MOST_WORDS) -> DataFrame:
     """``lang, k, phrase, n`` of all phrases of up to ``most`` words with at least ``least`` occurrences; ``k`` = 0 as in ``counts``.
 
-    ``proposed`` (``lang, phrase``) are counted at once; what turns out frequent besides takes further passes.
+    ``proposed`` (``lang, phrase``, or their bitmap) are counted at once; what turns out frequent besides takes further passes.
     """
-    counted, bitmap = None, None if proposed is None else bitmap_of(proposed)
-    known, closing = None, False
-    while True:
-        found = counts(docs, counted, bitmap, most, closing, least)
-        # A phrase may be counted in two passes, by a bitmap's false positives: with the same result.
-        known = found if known is None else known.unionByName(found).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n"))
-        known = stored(known, "phrases")
-        if closing:  # parts of a frequent phrase are proposed or were counted just now: it was counted as well
-            return known
-        open_ = known.where(F.col("k").between(1, most - 1)).select("lang", "phrase", "n")
-        if proposed is not None:
-            open_ = open_.join(proposed, ["lang", "phrase"], "left_anti")
-        open_ = stored(open_, "border-failures")
-        if open_.isEmpty():
-            return known
-        # Few occurrences to extend: a closing pass counts little more than a plain one and is the last.
-        words, extended_ = known.agg(F.sum(F.when(F.col("k") == 0, F.col("n")))).first()[0], open_.agg(F.sum("n")).first()[0]
-        closing, open_ = extended_ * CLOSING_SHARE <= words, open_.drop("n")
-        proposed = open_ if proposed is None else stored(proposed.unionByName(open_), "proposals")
-        counted, bitmap = bitmap or Bitmap(LEAST_BITS, bytes(1 << (LEAST_BITS - 3))), bitmap_of(proposed)
-
-
-def proposals(docs: DataFrame, least: int, share: int = SAMPLE_SHARE, most: int = MOST_WORDS) -> DataFrame:
-    """Phrases (``lang, phrase``) that are frequent in one piece of text in ``share``, at a lowered threshold."""
+    if isinstance(proposed, DataFrame):
+        proposed = bitmap_of(proposed)
+    counted, found = closed(docs, least, None if proposed is None else Either((proposed,)), most)
+    counted, known = counted or Either(()), bitmap_of_hashes(found)
+    return stored(counts(docs, counted, Either((*counted.bitmaps, known)), most, True, least, known), "phrases")
+
+
+def proposals(docs: DataFrame, least: int, share: int = SAMPLE_SHARE, most: int = MOST_WORDS) -> Bitmap:
+    """Phrases that are frequent in one piece of text in ``share``, at a lowered threshold."""
     drawn = F.filter(
         F.split("text", SEPARATORS), lambda piece, k: F.pmod(F.xxhash64(F.col("doc_id"), k, F.lit("phrases")), F.lit(share)) == 0
     )
     sample = stored(docs.select("lang", F.array_join(drawn, "\n").alias("text")).where("text <> ''"), "phrase-sample")
     lowered = max(2, round(SAMPLE_SLACK * least / share))
-    return frequent(sample, lowered, most=most).where(F.col("k").between(1, most - 1)).select("lang", "phrase")
+    return bitmap_of_hashes(closed(sample, lowered, None, most - 1)[1])
 
 
 def _joined(words: Column, first, size) -> Column:

@@ -139,3 +139,31 @@ def test_counted_phrases_travel_as_one_key(spark):
     assert "hashpartitioning(key" in found._jdf.queryExecution().executedPlan().toString()
     often = phrases.counts(docs, None, everything, least=2).collect()
     assert {(r.lang, r.phrase): r.n for r in often if r.k} == {("a\nb", p): 2 for p in ("one", "two", "one two")} | {("und", "é"): 2}
+
+
+def test_rare_phrases_are_counted_by_hash_only(spark, monkeypatch):
+    """Of thousands of rare pairs of frequent words, next to none is shuffled as text."""
+    rng = random.Random(4)
+    texts = [(d, "en", " ".join(["of the"] + [f"w{rng.randrange(150)}" for _ in range(40)])) for d in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string").repartition(3)
+    counts, met = phrases.counts, []
+
+    def counted(docs, counted, proposed, most=5, closing=False, least=1, *more):
+        met.append(counts(docs, counted, proposed, most, closing, 1, *more).where("k >= 2").count())
+        return counts(docs, counted, proposed, most, closing, least, *more)
+
+    monkeypatch.setattr(phrases, "counts", counted)
+    found = {r.phrase: r.n for r in phrases.frequent(docs, 100).where("k >= 2").collect()}
+    every = {p: n for (_, k, p), n in all_counts([t[1:] for t in texts]).items() if k >= 2}
+    assert found == {p: n for p, n in every.items() if n >= 100} and len(every) > 60_000
+    assert sum(met) < 100
+
+
+def test_counts_by_hash(spark, texts, monkeypatch):
+    """Whatever tasks let go at a time, sums by hash are those by text."""
+    monkeypatch.setattr(phrases, "HASH_ROWS", 50)
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string").repartition(4)
+    everything = phrases.Bitmap(phrases.LEAST_BITS, b"\xff" * (1 << (phrases.LEAST_BITS - 3)))
+    found = collections.Counter((r.k, r.n) for r in phrases.frequent_hashes(docs, None, everything, least=3).collect())
+    wanted = all_counts([(lang, text) for _, lang, text in texts])
+    assert found == collections.Counter((k, n) for (_, k, _), n in wanted.items() if k and n >= 3)
