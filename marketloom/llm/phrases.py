@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -331,10 +332,21 @@ def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = summed()
             kept, size = table.to_batches(), table.nbytes
             if size * 2 > TEXT_BYTES:
-                yield from table.to_batches(max_chunksize=100_000)
+                yield from table.to_batches()
                 kept, size = [], 0
     if kept:
-        yield from summed().to_batches(max_chunksize=100_000)
+        yield from summed().to_batches()
+
+
+def in_blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Counts by text, a row for each block of keys."""
+    block = np.fromiter(map(zlib.crc32, batch["key"].cast(pa.binary()).to_pylist()), np.int64, batch.num_rows) >> 32 - BLOCK_BITS
+    order = np.argsort(block, kind="stable")
+    blocks, at = np.unique(block[order], return_index=True)
+    ends, batch = pa.array(np.append(at, len(order)), pa.int32()), batch.take(pa.array(order))
+    return pa.record_batch({
+        "block": pa.array(blocks, pa.int32()), "keys": pa.ListArray.from_arrays(ends, batch["key"]), "times": pa.ListArray.from_arrays(ends, batch["n"]),
+    })
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -384,7 +396,8 @@ def counts(
 
     Those with fewer than ``least`` occurrences are left out. The first pass, without ``counted``, also has all words, and each language's number of words as ``k`` = 0. A ``closing``
     pass takes all phrases that it counts anew for proposed ones, and so counts their extensions at once. With
-    ``frequent``, words and phrases that it holds are counted as well, whether or not ``counted`` has them.
+    ``frequent``, words and phrases that it holds are counted as well, whether or not ``counted`` has them; each task's counts,
+    which have the same phrases again and again, then travel in blocks.
     """
     shared = docs.sparkSession.sparkContext.broadcast((counted, proposed, most, closing, frequent))
 
@@ -399,7 +412,21 @@ def counts(
 
         yield from combined(map(keyed, counted()))
 
-    summed = texts_of(docs).mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    def count_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(in_blocks, count(batches))
+
+    def summed_block(block: pa.Table) -> pa.Table:
+        found = pa.table({"key": pc.list_flatten(block["keys"]), "n": pc.list_flatten(block["times"])})
+        found = found.group_by("key", use_threads=False).aggregate([("n", "sum")])
+        kept = pc.or_(pc.greater_equal(found["n_sum"], least), pc.starts_with(found["key"], "\n"))
+        return pa.table({"key": found["key"], "n": found["n_sum"]}).filter(kept)
+
+    if frequent is None:
+        summed = texts_of(docs).mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    else:
+        summed = texts_of(docs).mapInArrow(count_in_blocks, "block int, keys array<string>, times array<long>").groupBy("block").applyInArrow(
+            summed_block, "key string, n long"
+        )
     phrase = F.substring_index("key", "\n", 1)
     found = summed.where((F.col("n") >= least) | F.col("key").startswith("\n")).select(
         F.expr("substring(key, length(substring_index(key, '\n', 1)) + 2)").alias("lang"), phrase.alias("phrase"), "n"
