@@ -6,7 +6,7 @@ and compose with ``transform``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from threading import Lock
 
@@ -17,7 +17,7 @@ from marketloom.functions.text import null_if_in, strip, title_case
 from marketloom.operators.base import UNKNOWN_SESSION
 from marketloom.operators.ranking import exact_percentiles
 from marketloom.schemas import AMOUNT, CLEAN, FRACTION, MONEY, TABLES
-from marketloom.session import side_by_side
+from marketloom.session import input_bytes, side_by_side
 from marketloom.shop import Shop
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -32,6 +32,13 @@ NO_REASON = "Not Specified"
 CUSTOMER_TEXTS = ("country", "city", "device", "acquisition_channel", "customer_segment")
 PRODUCT_TEXTS = ("category", "subcategory", "brand")
 
+# Tables with parents, in the order in which they are stored when disk is to be saved: a parent before its children, and
+# order_items, whose rows are shuffled most often (by their key and for each of two parents), while little is stored.
+CHILDREN = ("orders", "order_items", "payments", "returns", "web_events")
+PARTS = {"order_items": 4}
+PART_BYTES = 32 << 20
+"""A part is of no less input than that."""
+
 
 # ---- Rules ---------------------------------------------------------------------------------------------
 
@@ -63,6 +70,7 @@ def keep_first(key: str) -> Rule:
         place = F.row_number().over(Window.partitionBy(F.xxhash64(key), key).orderBy("_seq"))
         return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
+    rule.key = key
     return rule
 
 
@@ -189,6 +197,12 @@ def no_negative_amount(df: DataFrame) -> DataFrame:
 # ---- Pipelines -----------------------------------------------------------------------------------------
 
 
+def in_parts(name: str, raw: DataFrame) -> int:
+    """In how many parts a table is stored; a fixed number on large input, so that reading it again grows with the input only."""
+    most = PARTS.get(name, 1)
+    return max(1, min(most, input_bytes(raw) // PART_BYTES)) if most > 1 else 1
+
+
 class Cleaning:
     """The nine pipelines over raw tables; a child table reads the keys of its cleaned parents.
 
@@ -198,29 +212,42 @@ class Cleaning:
 
     def __init__(
         self, raw: Callable[[str], DataFrame], keep: Callable[[DataFrame, str], DataFrame] | None = None, counting: bool = False,
+        parts: Callable[[str, DataFrame], int] | None = None,
     ):
         self.raw = raw
         self._keep = keep
         self._counting = counting
+        self._parts = parts
         self._done: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in TABLES}
-        # Per table: its raw rows, then (rule, rows left) for every rule that leaves rows out.
-        self._seen: dict[str, list[tuple[Rule | None, Observation]]] = {}
-
-    def keeping(self, keep: Callable[[DataFrame, str], DataFrame], counting: bool = False) -> "Cleaning":
+        # Per table that is stored in parts: the part at hand and the number of parts.
+        self._part: dict[str, tuple[int, int]] = {}
+        # Per table and part: its raw rows, then (rule, rows left) for every rule that leaves rows out.
+        self._seen: dict[str, dict[int, list[tuple[Rule | None, Observation]]]] = {name: {} for name in TABLES}
+
+    def keeping(
+        self, keep: Callable[[DataFrame, str], DataFrame], counting: bool = False, parts: Callable[[str, DataFrame], int] | None = None,
+    ) -> "Cleaning":
         """``counting`` counts rows per rule in the passes that store the tables, for ``rule_audit``.
 
         A session in which rows were counted so can't run plans that send the session to tasks, as some of Spark's do:
         the raw tables should come from a session of their own (``spark.newSession()``).
+
+        ``parts`` saves disk: tables with parents are stored one after another, each in so many parts (asked with its name and
+        its raw rows) by the hash of its key. Each row is in one part, and all rows of a key in the same, so that the parts make
+        up the table; the raw table is read once per part, and one part's shuffles are on disk at a time. ``keep`` is called per part.
         """
-        return Cleaning(self.raw, keep, counting)
+        return Cleaning(self.raw, keep, counting, parts)
 
     def _run(self, table: str, *rules: Rule) -> DataFrame:
         """The raw table after ``rules``; in a counting run rows are counted on the way, in the pass that stores the table."""
         df, seen = self.raw(table), []
+        part, parts = self._part.get(table, (0, 1))
+        if parts > 1:
+            df = df.filter(F.pmod(F.xxhash64(rules[0].key), F.lit(parts)) == part)
 
         def counted(df: DataFrame, rule: Rule | None) -> DataFrame:
-            if not self._counting or table in self._seen:
+            if not self._counting or part in self._seen[table]:
                 return df
             seen.append((rule, Observation(f"{table}-{len(seen)}-{id(seen)}")))
             return df.observe(seen[-1][1], F.count(F.lit(1)).alias("rows"))
@@ -230,7 +257,7 @@ class Cleaning:
             df = rule(df)
             if hasattr(rule, "reason"):
                 df = counted(df, rule)
-        self._seen.setdefault(table, seen)
+        self._seen[table].setdefault(part, seen)
         return df
 
     def _finished(self, table: str, df: DataFrame) -> DataFrame:
@@ -269,8 +296,9 @@ class Cleaning:
         # Cleaning leaves out no product but repeated ones, so a stored table has the same keys.
         products = self.table("products") if self._keep else self.product_rows()
         return self._finished("order_items", self._run(
-            "order_items", keep_first("order_item_id"), with_parent(self.table("orders"), "order_id"),
-            with_parent(products, "product_id"), numbers(quantity="int", unit_price=MONEY),
+            # Numbers first: they are shorter than their texts when rows are shuffled to their parents.
+            "order_items", keep_first("order_item_id"), numbers(quantity="int", unit_price=MONEY),
+            with_parent(self.table("orders"), "order_id"), with_parent(products, "product_id"),
             positive_quantity, add_line_total,
         ))
 
@@ -309,12 +337,24 @@ class Cleaning:
     def table(self, name: str) -> DataFrame:
         with self._locks[name]:
             if name not in self._done:
-                cleaned = getattr(self, name)()
-                self._done[name] = self._keep(cleaned, name) if self._keep else cleaned
+                self._done[name] = reduce(DataFrame.unionAll, self._cleaned(name))
             return self._done[name]
 
+    def _cleaned(self, name: str) -> Iterator[DataFrame]:
+        """The cleaned table, in as many parts as it is stored in."""
+        parts = self._parts(name, self.raw(name)) if self._parts and self._keep and name in CHILDREN else 1
+        for part in range(parts):
+            self._part[name] = part, parts
+            cleaned = getattr(self, name)()
+            del self._part[name]
+            yield self._keep(cleaned, name) if self._keep else cleaned
+
     def tables(self) -> dict[str, DataFrame]:
         """All cleaned tables; those that are stored are so side by side, a child once its parents are there."""
+        if self._parts:
+            side_by_side(self.table, [name for name in TABLES if name not in CHILDREN])
+            for name in CHILDREN:
+                self.table(name)
         return dict(zip(TABLES, side_by_side(self.table, TABLES)))
 
     def shop(self, spark) -> Shop:
@@ -329,11 +369,12 @@ class Cleaning:
         """
         lines = []
         for name, kept in self.tables().items():
-            (_, raw), *steps = self._seen[name]
-            before = raw.get["rows"]
-            for step, (rule, left) in enumerate(steps, 1):
-                lines.append((name, step, rule.number, rule.reason, before, left.get["rows"]))
-                before = left.get["rows"]
+            # Per step its counts in all parts of the table.
+            counts = [(seen[0][0], sum(left.get["rows"] for _, left in seen)) for seen in zip(*self._seen[name].values())]
+            before = counts[0][1]
+            for step, (rule, left) in enumerate(counts[1:], 1):
+                lines.append((name, step, rule.number, rule.reason, before, left))
+                before = left
             stored = kept.count()
             if before != stored:
                 raise RuntimeError(f"{name}: {before} rows were counted and {stored} stored; some task ran twice")

@@ -22,7 +22,7 @@ from marketloom.plans import catalogue, sql_analysis, sql_cleaning, sql_views
 from marketloom.plans.catalogue import VIEWS
 from marketloom.plans.sqlparts import with_ctes
 from marketloom.schemas import CLEAN, TABLES, raw_schema
-from marketloom.session import new_folder, side_by_side
+from marketloom.session import frugal_session, new_folder, side_by_side
 from marketloom.shop import Shop
 from marketloom.sources import files
 from marketloom.sources.rawdata import RawTables, star_cleaning
@@ -365,7 +365,7 @@ _add(
                      cleaning.no_negative_amount, columns=("payment_id", "amount")),
         "C18": lambda spark, folder: plain_types(star_cleaning(spark, folder).keeping(written).audit()),
         "C18_rules": lambda spark, folder: plain_types(
-            star_cleaning(spark.newSession(), folder).keeping(written, counting=True).rule_audit(spark)
+            star_cleaning(frugal_session(spark), folder).keeping(written, counting=True, parts=cleaning.in_parts).rule_audit(spark)
         ),
     },
     sql_cleaning.RULES,

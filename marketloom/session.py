@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,6 +30,28 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def frugal_session(spark: SparkSession) -> SparkSession:
+    """A session of its own that needs little disk, for queries that run once.
+
+    Shuffle files go when the query that wrote them ends, not when the driver happens to collect its garbage: a DataFrame that
+    is run twice is computed twice. Stored tables are compressed more. Partitions are small, and where those of one side of a
+    join are, rows of the other side need not be sorted.
+    """
+    own = spark.newSession()
+    for name, value in {
+        "classic.shuffleDependency.fileCleanup.enabled": "true", "parquet.compression.codec": "zstd",
+        "adaptive.advisoryPartitionSizeInBytes": "16m", "adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
+    }.items():
+        own.conf.set(f"spark.sql.{name}", value)
+    return own
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` is read from, all their columns."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+
+
 def side_by_side(run: Callable, items: Iterable) -> list:
     """``run`` of every item, each in a thread of its own: cores that one job leaves idle work for the others.
 
