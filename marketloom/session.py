@@ -35,10 +35,11 @@ def frugal_session(spark: SparkSession) -> SparkSession:
 
     Shuffle files go when the query that wrote them ends, not when the driver happens to collect its garbage: a DataFrame that
     is run twice is computed twice. Stored tables are compressed more. Partitions are small, and where those of one side of a
-    join are, rows of the other side need not be sorted.
+    join are, rows of the other side need not be sorted. Their number is that of the given session.
     """
     own = spark.newSession()
     for name, value in {
+        "shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
         "classic.shuffleDependency.fileCleanup.enabled": "true", "parquet.compression.codec": "zstd",
         "adaptive.advisoryPartitionSizeInBytes": "16m", "adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
     }.items():

@@ -84,3 +84,9 @@ def test_rules_are_counted_alike_in_parts_and_leave_no_shuffle_files(spark, monk
     while shuffle_files(spark) - before and time.time() < until:
         time.sleep(0.2)
     assert not shuffle_files(spark) - before
+
+
+def test_shuffle_partitions_are_those_of_the_given_session(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "11")
+    assert frugal_session(own).conf.get("spark.sql.shuffle.partitions") == "11"
